@@ -1,8 +1,9 @@
 """The operators' queries over the driver's tables, and the SQL where it can express them."""
 
-from paperloom.llm import simhash
+from paperloom.llm import line_dedup, simhash
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op9_simhash": simhash.op9_simhash,
 }
 ORACLES: dict[str, str] = {}
