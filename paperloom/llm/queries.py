@@ -1,9 +1,11 @@
 """The operators' queries over the driver's tables, and the SQL where it can express them."""
 
-from paperloom.llm import kneser_ney, line_dedup, simhash
+from paperloom.llm import decontaminate, kneser_ney, line_dedup, quality, simhash
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op5_quality": quality.op5_quality,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_kneser_ney": kneser_ney.op8_kneser_ney,
     "op9_simhash": simhash.op9_simhash,
 }
