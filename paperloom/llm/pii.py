@@ -97,6 +97,11 @@ TEMPLATES = (
     "<<email|{w}{d2}[at]{w}[dot]com>> is", "mail <<email|{w}(at){w}(dot)com>>", "send <<email|{w}.{d2}@{w}>> it",
     "host <<ip|{h4}:{h4}:{h4}:{h4}:{h4}:{h4}:{h4}:{h4}>> is down", "from <<ip|{h4}:{h4}::{h4}>> on",
     "card <<card|{d4}.{d4}.{d4}.{d4}>> expires", "paid by <<card|{d4}/{d4}/{d4}/{d4}>> ok", "number <<card|{d4}_{d4}_{d4}_{d4}>>",
+    "of <<phone|+{d1} ({d3}) {d3}-{d4}>> <<card|{d16}>> and", "de <<phone|+{d1} ({d3}) {d3}-{d4}>> in", "<<card|{d16}>> <<phone|+{d1} ({d3}) {d3}-{d4}>> {w}",
+    "by <<card|{d16}>> <<ip|{o}.{o}.{o}.{o}>> {w}", "<<ip|{o}.{o}.{o}.{o}>> <<card|{d16}>>", "to <<email|{w}.{d2}@{w}{d1}.{w}.com>> <<ip|{o}.{o}.{o}.{o}>>",
+    "<<phone|+{d1} ({d3}) {d3}-{d4}>> <<ip|{o}.{o}.{o}.{o}>> {w}", "<<phone|+{d1} ({d3}) {d3}-{d4}>> <<email|{w}.{d2}@{w}{d1}.{w}.com>>",
+    "<<phone|+{d1} ({d3}) {d3}-{d4}>> <<card|{d16}>> <<ip|{o}.{o}.{o}.{o}>> {w}", "<<card|{d16}>> <<card|{d16}>>", "<<phone|+{d1} ({d3}) {d3}-{d4}>> <<phone|+{d1} ({d3}) {d3}-{d4}>>",
+    "paid <<card|{d4} {d4} {d4} {d4}>> <<phone|+{d1} ({d3}) {d3}-{d4}>>", "paid <<card|{d4}-{d4}-{d4}-{d4}>> <<ip|{o}.{o}.{o}.{o}>>", "at <<ip|{o}.{o}.{o}.{o}>>, {w}", "no <<card|{d16}>>. {w}",
     "version {d1}.{d1} of {w}", "version {d1}.", "since {y} and {y}", "in {y}-0{d1}-{d2} at {d2}:{d2}", "price {d3}.{d2} each", "{d1},{d3},{d3} people",
     "token = \"{h4}{h4}{h4}{h4}{h4}{h4}{h4}{h4}{h4}{h4}\"", "password={h4}{h4}{h4}{h4}{h2}", "key AKIA{A4}{A4}{A4}{A4} of", "chapter {d2} page {d3}",
     "(see {d2})", "[{d1}] {w}", "{w} ({y}) {w}", "C++ and +{d1} more", "#{d4} {w}", "{d2}%%% {w}", "@{w} said", "{d4} items", "id {d4}{d4} of {d4}", "{w} @ {d2} each",
@@ -116,6 +121,8 @@ def training_table(seed: int = 7) -> list[tuple[list[str], list[int]]]:
         kind, n = m[1][0], int(m[1][1:] or 0)
         if kind == "w":
             return pick("abcdefghijklmnopqrstuvwxyz", int(rng.integers(3, 10)))
+        if kind == "o":
+            return str(rng.integers(1, 255))
         if kind == "y":
             return str(rng.integers(1900, 2031))
         return pick({"d": "0123456789", "h": "0123456789abcdef", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"}[kind], n)
@@ -293,8 +300,6 @@ def _gradient(weights: np.ndarray, steps: np.ndarray, index: np.ndarray, y: np.n
 
 _WORD = re.compile(r"\S+")
 _CANDIDATE = re.compile(r"[0-9@+(\[]")
-#: Characters around a candidate run that are read for its neighbours.
-_TRIM = ".,;:!?\"'"
 
 
 def _runs_in(text: str) -> list[tuple[list[str], list[int], int, int]]:
@@ -355,9 +360,9 @@ def field_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int
                 while stop < len(labels) and labels[stop] and labels[stop] % 2 == 0:
                     stop += 1
                 b, e = starts[t], starts[stop - 1] + len(words[stop - 1])
-                while e > b and texts[k][e - 1] in _TRIM:
+                while e > b and not texts[k][e - 1].isalnum():
                     e -= 1
-                while b < e and texts[k][b] in _TRIM:
+                while b < e and not texts[k][b].isalnum() and texts[k][b] not in "+(":
                     b += 1
                 out[k].append((b, e, (labels[t] - 1) // 2))
                 t = stop

@@ -112,3 +112,10 @@ def unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
         i, j = i[apart], j[apart]
         ri, rj = ri[apart], rj[apart]
         parent[np.maximum(ri, rj)] = np.minimum(ri, rj)
+
+
+def with_lengths(docs: DataFrame) -> DataFrame:
+    """docs whose column n_chars, where there is one, is the length of text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
