@@ -58,24 +58,45 @@ def _first(rows: DataFrame, by: tuple[str, ...], count: str) -> DataFrame:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(scope, call_id, level) of the calls that no cycle holds back; calls must be distinct by scope and call_id."""
-    spark = calls.sparkSession
-    nodes = calls.select("scope", "call_id")
-    edges = calls.select("scope", "call_id", F.explode(F.array_distinct("after")).alias("dep"))
-    edges = edges.join(nodes.withColumnRenamed("call_id", "dep"), ["scope", "dep"], "left_semi")
-    edges, old = shared.stored(edges, "calls-edges")
-    done = nodes.join(edges, ["scope", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    done, path = shared.stored(done, "calls-level")
-    out, level = done, 0
-    while not edges.isEmpty() and not done.isEmpty():
-        level += 1
-        found = edges.select("scope", "call_id").distinct()
-        left = edges.join(done.select("scope", F.col("call_id").alias("dep")), ["scope", "dep"], "left_anti")
-        left, new = shared.stored(left, "calls-edges")
-        done, path = shared.stored(found.join(left, ["scope", "call_id"], "left_anti").withColumn("level", F.lit(level)), "calls-level")
-        shared.forget(spark, old)
-        out, edges, old = out.unionByName(done), left, new
-    return out
+    """(scope, call_id, level) of the calls that no cycle holds back; calls must be distinct by scope and call_id.
+
+    Chains of calls that come after one other call are followed by pointer
+    doubling, in as many rounds as the logarithm of their length; only calls that
+    come after several are peeled level by level.
+    """
+    nodes, key = calls.select("scope", "call_id"), ["scope", "call_id"]
+    edges = calls.select(*key, F.explode(F.array_distinct("after")).alias("dep"))
+    edges, _ = shared.stored(edges.join(nodes.withColumnRenamed("call_id", "dep"), ["scope", "dep"], "left_semi"), "calls-edges")
+    degree = edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("dep").alias("dep"))
+    chain = degree.where("n = 1").select(*key, F.col("dep").alias("anchor"), F.lit(1).cast("long").alias("off"))
+    chain, path = shared.stored(chain.withColumn("on", F.lit(True)), "calls-chain")
+    for _ in range(chain.count().bit_length() + 1):
+        ahead = chain.select("scope", F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("off").alias("more"))
+        moved = chain.join(ahead, ["scope", "anchor"], "left").select(
+            *key, F.coalesce("next", "anchor").alias("anchor"), (F.col("off") + F.coalesce("more", F.lit(0))).alias("off"), F.col("next").isNotNull().alias("on")
+        )
+        moved, new = shared.stored(moved, "calls-chain")
+        shared.forget(calls.sparkSession, path)
+        chain, path = moved, new
+        if chain.where("on").isEmpty():
+            break
+    chain = chain.where("not on").drop("on")
+    known = nodes.join(edges, key, "left_anti").withColumn("level", F.lit(0).cast("long"))
+    several = edges.join(degree.where("n > 1").select(*key), key, "left_semi")
+    ends = chain.select("scope", F.col("call_id").alias("dep"), "anchor", "off")
+    several = several.join(ends, ["scope", "dep"], "left").select(*key, F.coalesce("anchor", "dep").alias("anchor"), F.coalesce("off", F.lit(0)).alias("off"))
+    several, _ = shared.stored(several, "calls-several")
+    while not several.isEmpty():
+        at = known.select("scope", F.col("call_id").alias("anchor"), "level")
+        seen = several.join(at, ["scope", "anchor"], "left").groupBy(*key)
+        ready = seen.agg(F.bool_and(F.col("level").isNotNull()).alias("all"), (F.max(F.col("level") + F.col("off")) + 1).alias("level")).where("all")
+        ready, _ = shared.stored(ready.select(*key, "level"), "calls-ready")
+        if ready.isEmpty():
+            break
+        known = known.unionByName(ready)
+        several, _ = shared.stored(several.join(ready, key, "left_anti"), "calls-several")
+    at = known.select("scope", F.col("call_id").alias("anchor"), "level")
+    return known.unionByName(chain.join(at, ["scope", "anchor"]).select(*key, (F.col("level") + F.col("off")).alias("level")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
