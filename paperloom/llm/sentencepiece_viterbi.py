@@ -38,6 +38,7 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that a worker keeps, and words of one length that advance together.
 KEPT, TOGETHER = 400_000, 1 << 15
 UNKNOWN_PENALTY = np.float32(10)
+_BITS, _NONE = 20, -(2**30)
 
 
 def default_model() -> str:
@@ -65,6 +66,8 @@ class Pieces:
         self.hashes, self.ids, self.scores = hashes[order], np.array(plain, np.int32)[order], scores[order]
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces have one hash")
+        self.bitmap = np.zeros(1 << _BITS, bool)
+        self.bitmap[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         self.unknown = scores.min() - UNKNOWN_PENALTY
         self.bytes_at = np.array([lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
         self.as_bytes = [b""] * lib.vocab_size()
@@ -94,41 +97,52 @@ class Pieces:
         score[0] = 0
         back = np.zeros((length + 1, n), np.int32)
         piece = np.full((length + 1, n), -1, np.int32)
+        rows = np.arange(n)
         span = np.zeros((n, 0), np.uint64)  # hashes of the substrings that end here, the longest first
         for end in range(1, length + 1):
             c = chars[:, end - 1]
             span = np.concatenate([span * _A + c[:, None], c[:, None]], axis=1)[:, -self.longest :]
             width = span.shape[1]
             keys = span ^ np.arange(width, 0, -1, dtype=np.uint64)
-            at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
-            hit = self.hashes[at] == keys
-            own = np.where(hit, self.scores[at], np.float32(-np.inf))
-            own[:, -1] = np.where(hit[:, -1], own[:, -1], self.unknown)
+            own = np.full(keys.shape, -np.inf, np.float32)
+            ids = np.full(keys.shape, -1, np.int32)
+            row, col = np.nonzero(self.bitmap[(keys >> np.uint64(64 - _BITS)).astype(np.int64)])
+            probe = keys[row, col]
+            at = np.minimum(np.searchsorted(self.hashes, probe), len(self.hashes) - 1)
+            hit = self.hashes[at] == probe
+            row, col, at = row[hit], col[hit], at[hit]
+            own[row, col] = self.scores[at]
+            ids[row, col] = self.ids[at]
+            own[:, -1] = np.where(ids[:, -1] < 0, self.unknown, own[:, -1])
             total = own + score[end - width : end].T
             choice = total.argmax(axis=1)
-            rows = np.arange(n)
             score[end] = total[rows, choice]
             back[end] = end - width + choice
-            piece[end] = np.where(hit[rows, choice], self.ids[at[rows, choice]], -1)
-        return [self._trace(w, back[:, k], piece[:, k]) for k, w in enumerate(words)]
-
-    def _trace(self, word: str, back: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        out, end = [], len(word)
-        while end:
-            if piece[end] >= 0:
-                out.append((int(piece[end]),))
-            else:
-                out.append(self.bytes_at[list(word[end - 1].encode("utf-8", "surrogatepass"))])
-            end = int(back[end])
-        return np.concatenate([np.asarray(x, np.int32) for x in reversed(out)])
+            piece[end] = ids[rows, choice]
+        return self._traced(words, back, piece)
+
+    def _traced(self, words: list[str], back: np.ndarray, piece: np.ndarray) -> list[np.ndarray]:
+        """Follow the back pointers of all words together; characters without a piece are put in afterwards."""
+        n, rows = len(words), np.arange(len(words))
+        at, steps = np.full(n, len(back) - 1), []
+        while at.any():
+            steps.append(np.where(at > 0, np.where(piece[at, rows] >= 0, piece[at, rows], -at), _NONE))
+            at = np.where(at > 0, back[at, rows], 0)
+        table = np.stack(steps[::-1], axis=1)
+        used = table != _NONE
+        out = np.split(table[used], np.cumsum(used.sum(axis=1))[:-1])
+        for k in np.flatnonzero(((table < 0) & used).any(axis=1)):
+            parts = [self.bytes_at[list(words[k][-i - 1].encode("utf-8", "surrogatepass"))] if i < 0 else [i] for i in out[k].tolist()]
+            out[k] = np.concatenate(parts)
+        return [x.astype(np.int32) for x in out]
 
     def learn(self, words: list[str]) -> None:
         """Encode words that are not known yet, those of one length together."""
         groups = defaultdict(list)
         for w in words:
             groups[len(w)].append(w)
-        found, lengths, flat = list(self.known), [], []
-        at = len(found)
+        lengths, flat = [], []
+        at = len(self.known)
         for length, members in groups.items():
             step = max(1, min(TOGETHER, (1 << 22) // (length * 8)))
             for k in range(0, len(members), step):
