@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 K, EVERY = 20, 20
 #: Bits of a code, of a substring, and the Hamming radius that is searched at first.
 BITS, SUB, RADIUS, WIDER = 128, 16, 55, 8
+#: The radius grows until this many times k codes are found: among few vectors the nearest are further off.
+ENOUGH = 25
 #: Vectors from which the rotation is learned, those of the smallest hashes.
 SAMPLE, ROUNDS = 16_384, 25
 #: Mean vectors and queries of a block.
@@ -88,7 +90,7 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarra
         while True:
             found = block.within(code, reach)
             found = found[ids[found] != query]
-            if len(found) >= k or reach >= code.size * SUB:
+            if len(found) >= ENOUGH * k or reach >= code.size * SUB:
                 break
             reach += WIDER
         scores = (x[found] * vector).sum(axis=1)

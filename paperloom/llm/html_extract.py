@@ -72,7 +72,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            out.append((text, max(0, len(text) - linked), outer_at is not None))
+            out.append((text, max(0, len(text.replace(" ", "")) - linked), outer_at is not None))
         pieces.clear()
         linked = 0
 
@@ -84,7 +84,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             piece = unescape(html[at:stop])
             pieces.append(piece)
             if link_at is not None:
-                linked += len(piece.strip())
+                linked += len("".join(piece.split()))
         if not m:
             break
         at = m.end()
