@@ -333,14 +333,14 @@ def unigram_library():
     return sentencepiece.SentencePieceProcessor(model_proto=out), sentencepiece_viterbi.Pieces(model)
 
 
-def test_viterbi_equals_the_library_and_decodes(spark):
+def test_viterbi_is_no_worse_than_the_library_and_decodes(spark):
     library, pieces = unigram_library()
     rng = random.Random(8)
     texts = [words(rng, 30) for _ in range(40)] + ["The quick brown fox jumps", "Le café est très bon", "x", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]
     for text, ids in zip(texts, pieces.encode(texts)):
-        # equal totals may be reached by different pieces
+        # the library adds in single precision and may miss the greatest total, never exceed it
         total = lambda found: sum(library.get_score(int(i)) for i in found)
-        assert total(ids) == total(library.encode(text)) and library.decode(ids.tolist()) == text
+        assert total(ids) >= total(library.encode(text)) and library.decode(ids.tolist()) == text
     odd = ["", " ", "  two  spaces ", "line\nbreak\ttab", "日本語 \U0001f600 ß", "a" * 5000, "\x00\x7f"]
     assert [pieces.decode(i) for i in pieces.encode(odd)] == odd
 
