@@ -119,8 +119,10 @@ def train(docs: DataFrame, shards: int | None = None) -> dict:
     want = shards or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = max(1, (want - 1).bit_length())
     n, shift = 1 << bits, np.uint64(64 - bits)
-    folder = _local(shared.table_path(spark, "kneser-ney"))
+    path = shared.table_path(spark, "kneser-ney")
+    folder = _local(path)
     os.makedirs(folder)
+    shared.when_done_forget(spark, path)
 
     def chunk_counts(tokens: list[np.ndarray]) -> pd.DataFrame:
         u, w = contexts(tokens)

@@ -30,9 +30,16 @@ def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it again: lineage is cut and survives lost executors."""
     path = table_path(df.sparkSession, tag)
     df.write.parquet(path)
+    when_done_forget(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def when_done_forget(spark: SparkSession, path: str) -> None:
+    """Let Hadoop delete a table of the shared folder when this application ends."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def forget(spark: SparkSession, *paths: str) -> None:
     """Delete tables of the shared folder that nothing reads any more."""
     for path in paths:
