@@ -1,4 +1,4 @@
-"""python -m paperloom run|report|eval"""
+"""python -m paperloom run|report|eval|export"""
 
 import argparse
 import json
@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from paperloom import config
 from paperloom.operators import records
-from paperloom.sources import models
+from paperloom.sources import models, sqlite
 
 
 def main(args: list[str] | None = None) -> int:
@@ -24,7 +24,9 @@ def main(args: list[str] | None = None) -> int:
     shown.add_argument("--json", action="store_true")
     against = commands.add_parser("eval", help="compare with expected records")
     against.add_argument("--expected", required=True)
-    for command in (run, shown, against):
+    export = commands.add_parser("export", help="write the tables to a SQLite file")
+    export.add_argument("--sqlite", required=True)
+    for command in (run, shown, against, export):
         command.add_argument("--db", required=True, help="folder of the tables")
     said = parser.parse_args(args)
     if said.command == "run" and said.workers < 1:
@@ -40,6 +42,9 @@ def main(args: list[str] | None = None) -> int:
         print(f"stopped: {reason}", file=sys.stderr)
         return 0
     tables = records.Records(spark, said.db)
+    if said.command == "export":
+        sqlite.export(tables.as_tables(), said.sqlite)
+        return 0
     if said.command == "eval":
         print(json.dumps(records.evaluate(tables, said.expected), ensure_ascii=False))
         return 0

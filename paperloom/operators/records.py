@@ -79,6 +79,12 @@ class Records:
         done = self.documents(with_text=True).where("status = 'done'").withColumn("answer", fields.valid_answer("raw"))
         return done.withColumns(fields.postprocess(F.col("answer"), F.col("text"))).drop("answer", "raw", "text", "invalid")
 
+    def as_tables(self) -> dict[str, DataFrame]:
+        """What an export holds: runs, files, every document with its fields, and the journal."""
+        documents = self.documents().drop("raw", "invalid")
+        documents = documents.join(self.results().drop("representative_path", "status", "quarantine_reason"), "id", "left")
+        return {"runs": self.runs(), "files": self.files(), "documents": documents, "llm_calls": self.table("calls")}
+
     def runs(self) -> DataFrame:
         """One row per run: its start, and its end where there is one."""
         events = self.table("runs")

@@ -1,6 +1,7 @@
 """Whole runs with the fake backend: counts, retries, budget, breaker, resume, evaluation, command line."""
 
 import json
+import sqlite3
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -45,6 +46,10 @@ def test_run_report_and_evaluation(spark, tmp_path, capsys):
     assert got["dedup_correct"] == 1 and got["missing"] == [["zz.txt"]] and got["extra"] == ["d.txt", "e.pdf", "f.txt"] and set(got["field_accuracy"].values()) == {1.0}
     capsys.readouterr()
     assert main(["report", "--db", db, "--json"]) == 0 and json.loads(capsys.readouterr().out)["input_files"] == 6
+    assert main(["export", "--db", db, "--sqlite", str(tmp_path / "o.sqlite")]) == 0
+    with sqlite3.connect(tmp_path / "o.sqlite") as con:
+        assert con.execute("select gross_amount, issue_date, status from documents where representative_path = 'a.txt'").fetchall() == [("150.00", "2024-03-15", "done")]
+        assert con.execute("select count(*) from files").fetchone() == (6,) and con.execute("select count(*) from llm_calls").fetchone() == (2,)
 
 
 def test_invalid_answers_are_tried_twice(spark, tmp_path):
