@@ -179,6 +179,21 @@ def excerpt(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", prompts.excerpt(F.col("text"), 3000).alias("excerpt"))
 
 
+@query(
+    """with b as (select doc_id, encode(coalesce(text, '')) as c, strlen(coalesce(text, '')) as n from documents)
+select doc_id, n > 2000 as large, case when n > 2000 then sha256(c[1:1000]) else sha256(c) end as head,
+       case when n > 2000 then sha256(c[greatest(n - 1000, 1000) + 1:]) end as tail from b"""
+)
+def head_tail(spark, sf_dir):
+    """Both ends of a large file's bytes, as the text extractor takes them, with small bounds."""
+    from paperloom.sources import files as source
+
+    content = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    head, tail = source.ends(content, 2000, 1000)
+    rows = table(spark, sf_dir, "documents")
+    return rows.select("doc_id", tail.isNotNull().alias("large"), F.sha2(head, 256).alias("head"), F.sha2(tail, 256).alias("tail"))
+
+
 TAX_BASE = "lpad(cast((c_custkey * 7919) % 1000000000 as string), 9, '0')"
 
 

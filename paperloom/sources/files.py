@@ -34,6 +34,13 @@ def unsafe_member(name: Column) -> Column:
     return F.array_contains(F.split(name, "/"), "..") | F.startswith(name, F.lit("/"))
 
 
+def ends(content: Column, large: int, keep: int) -> tuple[Column, Column]:
+    """The first and last keep bytes of contents over a bound; all and null of others. The ends never overlap."""
+    size = F.length(content)
+    head = F.when(size > large, F.substring(content, F.lit(1), F.lit(keep))).otherwise(content)
+    return head, F.when(size > large, F.substring(content, F.greatest(size - keep, F.lit(keep)) + 1, F.lit(keep)))
+
+
 def members(path: Path, most_mb: int) -> list[str]:
     """The file names of a zip; every entry is checked before any is read."""
     with zipfile.ZipFile(path) as archive:
