@@ -9,6 +9,10 @@ length advance together: hashes of their substrings probe the sorted hashes of
 the pieces, and vectorised maxima keep back pointers. Characters without a
 piece become byte pieces.
 
+The criterion "merges" instead repeats the best merge of adjacent symbols, with
+the same batches and probes: for models of the merge kind it gives the ids that
+the library's encoder gives.
+
 Defined results: a null or empty text has no pieces and decodes to an empty
 text; U+2581 in a text decodes as a space, as in the format itself; equal totals
 go to the longest last piece; repeated rows each give a row; an empty table
@@ -51,9 +55,11 @@ def default_model() -> str:
 class Pieces:
     """A model's pieces as sorted substring hashes, and its words' encodings so far."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, criterion: str = "viterbi"):
         import sentencepiece
 
+        self.cut = {"viterbi": self.best, "merges": self.merged}[criterion]
+
         lib = sentencepiece.SentencePieceProcessor(model_proto=model)
         plain = [i for i in range(lib.vocab_size()) if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i) or lib.is_unused(i))]
         texts = [lib.id_to_piece(i) for i in plain]
@@ -89,28 +95,69 @@ class Pieces:
             h = (h * int(_A) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return h ^ len(text)
 
-    def best(self, words: list[str]) -> list[np.ndarray]:
-        """The piece numbers of words of one length."""
+    def merged(self, words: list[str]) -> list[np.ndarray]:
+        """The piece numbers of words of one length, as the library's merge encoder has them.
+
+        All words merge their best adjacent pair together, the leftmost of equal
+        ones, until no pair is a piece.
+        """
+        n, length = len(words), len(words[0])
+        rows, depth = np.arange(n), min(length, self.longest)
+        score = np.full((n, length, depth + 1), -np.inf, np.float32)
+        number = np.full((n, length, depth + 1), -1, np.int32)
+        for end, (row, col, at, width) in enumerate(self._known_substrings(words), 1):
+            size = width - col
+            score[row, end - size, size] = self.scores[at]
+            number[row, end - size, size] = self.ids[at]
+        after = np.tile(np.arange(1, length + 1), (n, 1))  # where the symbol that begins here ends; 0: none begins
+        while True:
+            end = np.where(after > 0, np.take_along_axis(np.pad(after, ((0, 0), (0, 1))), after, axis=1), 0)
+            size = end - np.arange(length)
+            fits = (after > 0) & (end > 0) & (size <= depth)
+            pair = np.where(fits, np.take_along_axis(score, np.where(fits, size, 0)[:, :, None], axis=2)[:, :, 0], np.float32(-np.inf))
+            at = pair.argmax(axis=1)
+            live = np.flatnonzero(pair[rows, at] > -np.inf)
+            if not len(live):
+                break
+            at, middle = at[live], after[live, at[live]]
+            after[live, at] = after[live, middle]
+            after[live, middle] = 0
+        out = []
+        for k, w in enumerate(words):
+            begins = np.flatnonzero(after[k])
+            found = number[k, begins, after[k, begins] - begins]
+            if (found < 0).any():
+                found = np.concatenate([self.bytes_at[list(w[b].encode("utf-8", "surrogatepass"))] if i < 0 else [i] for b, i in zip(begins, found)])
+            out.append(found.astype(np.int32))
+        return out
+
+    def _known_substrings(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """For each end: words, columns (of width, the longest substring first) and sorted positions of the pieces that end there."""
         n, length = len(words), len(words[0])
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(n, length).astype(np.uint64) + np.uint64(1)
-        score = np.full((length + 1, n), -np.inf, np.float32)
-        score[0] = 0
-        back = np.zeros((length + 1, n), np.int32)
-        piece = np.full((length + 1, n), -1, np.int32)
-        rows = np.arange(n)
-        span = np.zeros((n, 0), np.uint64)  # hashes of the substrings that end here, the longest first
+        span = np.zeros((n, 0), np.uint64)
         for end in range(1, length + 1):
             c = chars[:, end - 1]
             span = np.concatenate([span * _A + c[:, None], c[:, None]], axis=1)[:, -self.longest :]
             width = span.shape[1]
             keys = span ^ np.arange(width, 0, -1, dtype=np.uint64)
-            own = np.full(keys.shape, -np.inf, np.float32)
-            ids = np.full(keys.shape, -1, np.int32)
             row, col = np.nonzero(self.bitmap[(keys >> np.uint64(64 - _BITS)).astype(np.int64)])
             probe = keys[row, col]
             at = np.minimum(np.searchsorted(self.hashes, probe), len(self.hashes) - 1)
             hit = self.hashes[at] == probe
-            row, col, at = row[hit], col[hit], at[hit]
+            yield row[hit], col[hit], at[hit], width
+
+    def best(self, words: list[str]) -> list[np.ndarray]:
+        """The piece numbers of words of one length."""
+        n, length = len(words), len(words[0])
+        score = np.full((length + 1, n), -np.inf, np.float32)
+        score[0] = 0
+        back = np.zeros((length + 1, n), np.int32)
+        piece = np.full((length + 1, n), -1, np.int32)
+        rows = np.arange(n)
+        for end, (row, col, at, width) in enumerate(self._known_substrings(words), 1):
+            own = np.full((n, width), -np.inf, np.float32)
+            ids = np.full((n, width), -1, np.int32)
             own[row, col] = self.scores[at]
             ids[row, col] = self.ids[at]
             own[:, -1] = np.where(ids[:, -1] < 0, self.unknown, own[:, -1])
@@ -147,7 +194,7 @@ class Pieces:
             step = max(1, min(TOGETHER, (1 << 22) // (length * 8)))
             for k in range(0, len(members), step):
                 part = members[k : k + step]
-                for w, ids in zip(part, self.best(part)):
+                for w, ids in zip(part, self.cut(part)):
                     self.known[w] = at
                     at += 1
                     lengths.append(len(ids))
@@ -178,8 +225,8 @@ class Pieces:
 
 
 @lru_cache(maxsize=2)
-def _pieces(model: bytes) -> Pieces:
-    return Pieces(model)
+def _pieces(model: bytes, criterion: str) -> Pieces:
+    return Pieces(model, criterion)
 
 
 #: Characters of texts that are encoded at once.
@@ -197,13 +244,13 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-def encoded(docs: DataFrame, model: bytes | None = None) -> DataFrame:
+def encoded(docs: DataFrame, model: bytes | None = None, criterion: str = "viterbi") -> DataFrame:
     """(doc_id, n_pieces, ids_sha256, round_trip): ids are hashed as little-endian 32-bit integers."""
     data = model if model is not None else Path(default_model()).read_bytes()
     sent = docs.sparkSession.sparkContext.broadcast(data)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = _pieces(sent.value)
+        pieces = _pieces(sent.value, criterion)
         for part in parts:
             texts, rows = part["text"].tolist(), []
             for b, e in _slices(texts):
@@ -217,7 +264,7 @@ def encoded(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     return shared.whole_text(docs, "doc_id").mapInPandas(run, "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean")
 
 
-def with_pieces(docs: DataFrame, model: bytes | None = None) -> DataFrame:
+def with_pieces(docs: DataFrame, model: bytes | None = None, criterion: str = "viterbi") -> DataFrame:
     """docs with the column pieces, the numbers of its text's pieces; text becomes what they decode to."""
     import pyarrow as pa
 
@@ -227,7 +274,7 @@ def with_pieces(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(sent.value)
+        pieces = _pieces(sent.value, criterion)
         for part in parts:
             texts = [t or "" for t in part.column(at).to_pylist()]
             for b, e in _slices(texts):

@@ -345,6 +345,19 @@ def test_viterbi_is_no_worse_than_the_library_and_decodes(spark):
     assert [pieces.decode(i) for i in pieces.encode(odd)] == odd
 
 
+def test_merges_equal_the_library(spark):
+    import sentencepiece
+
+    model = open(sentencepiece_viterbi.default_model(), "rb").read()
+    library, pieces = sentencepiece.SentencePieceProcessor(model_proto=model), sentencepiece_viterbi.Pieces(model, "merges")
+    rng = random.Random(15)
+    texts = [words(rng, 30) for _ in range(40)] + ["The quick brown fox jumps over", "Le café  est très bon\nligne", "日本語 \U0001f600 ß", "a" * 100, "", " x "]
+    assert [ids.tolist() for ids in pieces.encode(texts)] == library.encode(texts)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sample = [r["text"] for r in docs.collect()]
+    assert [ids.tolist() for ids in pieces.encode(sample)] == library.encode(sample)
+
+
 def test_viterbi_equals_brute_force():
     _, pieces = unigram_library()
     score = {int(h): float(s) for h, s in zip(pieces.hashes, pieces.scores)}
