@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlparse
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,14 @@ def table_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/paperloom/{tag}-{uuid.uuid4().hex}"
 
 
+def local_path(path: str) -> str:
+    """The mounted folder behind a path of the shared folder, for what Python itself reads and writes there."""
+    url = urlparse(path)
+    if url.scheme not in ("", "file"):
+        raise ValueError(f"spark.checkpoint.dir must be a mounted file system, not {url.scheme}")
+    return url.path
+
+
 def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it again: lineage is cut and survives lost executors."""
     path = table_path(df.sparkSession, tag)

@@ -100,6 +100,36 @@ def test_simhash_keeps_one(spark, corpus):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_simhash_stage_links_what_is_similar(spark):
+    """Texts of every length with a few changed words: the same groups as brute force over their shingle sets."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    base = [words(rng, n) for n in [8, 20, 60, 90, 150, 300] * 4]
+    rows = list(enumerate(base))
+    for k, t in enumerate(base):
+        w = t.split()
+        for at in range(k % 3, len(w), len(w) // (1 + len(w) // 60) + 1):
+            w[at] = f"other{k}"
+        rows += [(100 + k, " ".join(w)), (200 + k, t + " and more"), (300 + k, t.upper())]
+    rows += [(400, None), (401, ""), (402, "one two"), (403, "one two"), (404, "one three")]
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    alike = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b) > 0
+    links = [(i, j) for i, j in combinations(sets, 2) if alike(sets[i], sets[j])]
+    far = {i: simhash.majority(simhash.text_hashes(t or "")) for i, t in rows}
+    assert any((far[i] ^ far[j]).bit_count() > 4 for i, j in links)
+    groups = plain_components(sets, links)
+    for block in (7, 65_536):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.similar(docs_of(spark, rows), 5, 80, block=block).collect()}
+        assert got == groups
+    kept = corpus_pipeline.one_of_each(spark, docs_of(spark, [*rows, (None, "no id")]), "")
+    assert {r["doc_id"] for r in kept.collect()} == {*groups.values(), None}
+    assert simhash.similar(docs_of(spark, []), 5, 80).count() == 0
+
+
 # ------------------------------------------------------------------ op 2
 
 
