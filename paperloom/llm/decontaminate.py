@@ -5,7 +5,9 @@ a passage with substituted words still shares masked hashes with the benchmark.
 The hashes of the benchmark and of the documents are joined, and each hit is
 verified along its diagonal: the passages overlap if some window of WINDOW
 tokens (or the whole item, if shorter) has IDENTITY of its tokens equal, place
-by place.
+by place. The seeds are chosen so that every overlap of that kind is hit: each
+arrangement of the allowed substitutions in a window, or in a shorter item,
+leaves the ones of some seed untouched.
 
 Tokens are lower-cased runs of letters and digits. Items are dealt into blocks
 of bounded size; each block is one pass over the documents, so a benchmark of
@@ -21,6 +23,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import shared
 
-#: Fixed seeds: weight 7 or 8 within 11 or 12 tokens.
+#: Seeds of whole windows: weight 7 or 8 within 11 or 12 tokens; covering() adds what they leave.
 MASKS = ("11101100111", "110110011011", "111011010011", "11111111")
 WINDOW, IDENTITY, MIN_ITEM = 13, 0.8, 5
 #: Characters of benchmark text in a block.
@@ -46,6 +50,33 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def allowed(n: int) -> int:
+    """Tokens of n that may differ."""
+    return n - int(np.ceil(IDENTITY * n - 1e-9))
+
+
+@lru_cache
+def covering(n: int, masks: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """masks, and more of weight 4 to 6, so that every arrangement of the allowed substitutions in n tokens leaves one untouched at some place."""
+    lost = allowed(n)
+    weight = max(4, min(6, n - lost - 1))
+    tries = ["".join("1" if k in ones else "0" for k in range(max(ones) + 1)) for rest in combinations(range(1, n), weight - 1) if (ones := {0, *rest})]
+
+    def hit(mask: str) -> set[tuple[int, ...]]:
+        places = [{at + k for k, x in enumerate(mask) if x == "1"} for at in range(n - len(mask) + 1)]
+        return {a for a in arrangements if any(p.isdisjoint(a) for p in places)}
+
+    arrangements = set(combinations(range(n), lost))
+    chosen = list(masks)
+    for mask in masks:
+        arrangements -= hit(mask)
+    while arrangements:
+        best = max(tries, key=lambda mask: len(hit(mask)))
+        chosen.append(best)
+        arrangements -= hit(best)
+    return tuple(chosen)
+
+
 def _randoms(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 64, n, dtype=np.uint64, endpoint=False) | np.uint64(1)
 
@@ -61,14 +92,16 @@ class SeedIndex:
         self.ids = [i for i, _ in words]
         self.items = [np.array([name(x, len(self.vocabulary) + 1) for x in w], np.int64) for _, w in words]
         self.randoms = _randoms(len(self.vocabulary) + 1, 1)
-        short = sorted({len(w) for w in self.items if len(w) < min(map(len, masks))})
-        self.masks = [np.flatnonzero(np.array(list(m)) == "1") for m in (*masks, *["1" * n for n in short])]
+        seeds = [(m, WINDOW) for m in covering(WINDOW, masks)]
+        seeds += [(m, n) for n in sorted({len(w) for w in self.items if len(w) < WINDOW}) for m in covering(n)]
+        self.masks = [np.flatnonzero(np.array(list(m)) == "1") for m, _ in seeds]
         self.tables = []
-        for mask in self.masks:
+        for mask, (_, size) in zip(self.masks, seeds):
             found = []
             for k, w in enumerate(self.items):
-                h = self.hashes(w, mask)
-                found.append((h, np.full(len(h), k), np.arange(len(h))))
+                if min(WINDOW, len(w)) == size:
+                    h = self.hashes(w, mask)
+                    found.append((h, np.full(len(h), k), np.arange(len(h))))
             h, k, at = map(np.concatenate, zip(*found)) if found else (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
             order = np.argsort(h, kind="stable")
             bitmap = np.zeros(1 << _BITS, bool)

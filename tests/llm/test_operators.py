@@ -443,6 +443,33 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert all(r["item_ids"] == [r["doc_id"]] for r in got)
 
 
+@pytest.mark.parametrize("n", range(5, 14))
+def test_every_admitted_arrangement_is_found(n):
+    """All substitutions that IDENTITY admits in items of up to a window's tokens, and no more than these."""
+    rng = random.Random(n)
+    item = [f"w{rng.random()}".replace(".", "x") for _ in range(n)]
+    most = max(k for k in range(n) if n - k >= decontaminate.IDENTITY * n - 1e-9)
+    index = decontaminate.SeedIndex([(1, " ".join(item))])
+    for k in range(most + 2):
+        for lost in combinations(range(n), k):
+            w = np.array([0, 0, *[0 if at in lost else index.vocabulary[x] for at, x in enumerate(item)], 0], np.int64)
+            hits = index.hits(w, np.array([0]))
+            found = [h for h in hits.tolist() if index.verify(w, h[0], h[1], 0, len(w) - 1)]
+            assert bool(found) == (k <= most), lost
+
+
+def test_windows_of_long_items_are_found():
+    """A window with two substitutions anywhere in a longer item, cut from it."""
+    item = [f"v{k}" for k in range(30)]
+    index = decontaminate.SeedIndex([(1, " ".join(item))])
+    for begin in (0, 9, 17):
+        for lost in combinations(range(13), 2):
+            w = np.array([0, *[0 if k in lost else index.vocabulary[item[begin + k]] for k in range(13)], 0], np.int64)
+            # part of the item lies outside the text: here the text has unknown tokens around
+            w = np.concatenate([np.zeros(30, np.int64), w, np.zeros(30, np.int64)])
+            assert any(index.verify(w, h[0], h[1], 0, len(w) - 1) for h in index.hits(w, np.array([0])).tolist()), lost
+
+
 # ------------------------------------------------------------------ op 8
 
 
