@@ -498,6 +498,21 @@ def charset_decode(spark, sf_dir):
     return docs.select("doc_id", extractors.decoded(F.encode("text", "UTF-8")).alias("text"))
 
 
+@query()
+def charset_detect(spark, sf_dir):
+    """Every document's whole text, written in each of the encodings that can hold it, as it is read back; detection is beyond SQL."""
+    return read_back(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+
+
+def read_back(docs: DataFrame) -> DataFrame:
+    """(doc_id, encoding, text): a row for each encoding that can hold the text; an empty text is read as null."""
+    from paperloom.sources import extractors
+
+    each = docs.select("doc_id", "text", F.explode(F.array(*map(F.lit, extractors.ENCODINGS))).alias("encoding"))
+    found = each.select("doc_id", "encoding", extractors.written("text", "encoding").alias("content")).where("content is not null")
+    return found.select("doc_id", "encoding", extractors.decoded("content").alias("text"))
+
+
 @query(ORACLES["two_stage_dedup"].replace("select path, fingerprint, representative_path, case", "select path, representative_path, case"))
 def incremental_dedup(spark, sf_dir):
     from paperloom.streaming import incremental

@@ -16,7 +16,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
 #: Encodings that are tried, how much of a large text is read at each end, reasons, the attachment notes.
 ENCODINGS = ("utf-8", "cp1250", "iso-8859-2")
@@ -203,3 +203,16 @@ def extracted(files: DataFrame, seconds: float | None = None) -> DataFrame:
 def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in parts:
         yield part.map(lambda d: None if not d else decode(d))
+
+
+@F.pandas_udf(BinaryType())
+def written(text: pd.Series, encoding: pd.Series) -> pd.Series:
+    """Bytes of the texts in the named encodings; null where an encoding cannot hold the text."""
+
+    def one(t: str | None, e: str) -> bytes | None:
+        try:
+            return None if t is None else t.encode(e)
+        except UnicodeEncodeError:
+            return None
+
+    return pd.Series([one(t, e) for t, e in zip(text, encoding)], dtype=object)

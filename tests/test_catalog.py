@@ -44,6 +44,29 @@ def test_query(spark, sql, name):
         assert got[1]
 
 
+def test_charset_detect(spark):
+    """Whole texts in every encoding that holds them, against the library's choice among the three."""
+    from charset_normalizer import from_bytes
+
+    polish = "Zażółć gęślą jaźń. Usługi księgowe świadczone są przez spółkę z o.o. w Łodzi, płatność w ciągu trzydziestu dni. "
+    texts = {1: polish * 5, 2: "Größere Beträge werden überwiesen, sobald die Prüfung der Bücher abgeschlossen ist. " * 6, 3: "plain " * 200, 4: "Où est l'élève ? à bientôt " * 20, 5: "", 6: "„Łódź” – ąę" * 40}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r["doc_id"], r["encoding"]): r["text"] for r in catalog.read_back(docs).collect()}
+    want = {}
+    for k, t in texts.items():
+        for e in ("utf-8", "cp1250", "iso-8859-2"):
+            try:
+                raw = t.encode(e)
+            except UnicodeEncodeError:
+                continue
+            best = from_bytes(raw, cp_isolation=["utf-8", "cp1250", "iso-8859-2"]).best() if raw else None
+            want[k, e] = None if not raw else raw.decode("utf-8", "replace") if best is None else str(best)
+    assert got == want and {e for k, e in got if k == 1} == {"utf-8", "cp1250", "iso-8859-2"} and {e for k, e in got if k == 4} == {"utf-8"}
+    assert all(got[k, "utf-8"] == t for k, t in texts.items() if t) and got[1, "cp1250"] == texts[1]
+    whole = catalog.QUERIES["charset_detect"](spark, DATA).where("encoding = 'utf-8'")
+    assert whole.count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
+
+
 def test_entry(spark):
     import __spark_entry__
 
