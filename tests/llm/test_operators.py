@@ -200,7 +200,8 @@ def test_tiles_hold_every_pair_that_is_apart(spark):
     base = [rng.getrandbits(64) for _ in range(6)]
     fps = [None if k % 17 == 0 else base[k % 6] ^ sum(1 << b for b in rng.sample(range(64), k % 11)) for k in range(70)]
     rows = [(k % 2, k, k // 3, None if x is None else x - 2**64 if x >> 63 else x, None if x is None else 16) for k, x in enumerate(fps)]
-    got = {tuple(r) for r in line_dedup.tiled(spark.createDataFrame(rows, "key long, k1 long, g long, fp long, reach int"), 8).collect()}
+    texts = spark.createDataFrame([(k, 100, 10, "abcdefghij"[: 10 - k % 3 // 2]) for k in range(70)], "k1 long, size int, words int, code string")
+    got = {tuple(r) for r in line_dedup.tiled(spark.createDataFrame(rows, "key long, k1 long, g long, fp long, reach int"), texts, 8).collect()}
     near = lambda x, y: x is None or y is None or (x ^ y).bit_count() <= line_dedup.CLOSE
     assert got == {(a[1], b[1]) for a, b in combinations(rows, 2) if a[0] == b[0] and a[2] != b[2] and near(fps[a[1]], fps[b[1]])}
 
