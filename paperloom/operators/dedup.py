@@ -14,20 +14,16 @@ def scanned(docs: DataFrame, path: Column, content: Column) -> DataFrame:
 
 
 def raw_groups(files: DataFrame) -> DataFrame:
-    """One row per distinct content: its smallest path, how many files have it, and their text.
-
-    Files with one hash have one text, so the partial aggregate carries any of them once per task.
-    """
-    return files.groupBy("raw_sha256").agg(F.min("path").alias("first_path"), F.count("*").alias("n_files"), F.any_value("text").alias("text"))
+    """One row per distinct content: its smallest path and how many files have it."""
+    return files.groupBy("raw_sha256").agg(F.min("path").alias("first_path"), F.count("*").alias("n_files"))
 
 
 def with_fingerprints(files: DataFrame) -> DataFrame:
-    """(path, size_bytes, raw_sha256, fingerprint): text is normalised once per distinct content.
+    """(path, size_bytes, raw_sha256, fingerprint), worked out where a file is read: normalising again costs less than a shuffle of texts.
 
     An unreadable file (null text) takes its raw hash as fingerprint.
     """
-    prints = raw_groups(files).select("raw_sha256", F.coalesce(T.fingerprint(F.col("text")), "raw_sha256").alias("fingerprint"))
-    return files.select("path", "size_bytes", "raw_sha256").join(prints, "raw_sha256")
+    return files.select("path", "size_bytes", "raw_sha256", F.coalesce(T.fingerprint(F.col("text")), "raw_sha256").alias("fingerprint"))
 
 
 def assigned(files: DataFrame) -> DataFrame:
@@ -40,12 +36,6 @@ def assigned(files: DataFrame) -> DataFrame:
     return joined.withColumn("status", F.when(F.col("path") == F.col("representative_path"), "scanned").otherwise("duplicate"))
 
 
-def documents_of(files: DataFrame, texts: DataFrame) -> DataFrame:
-    """One document per fingerprint, its text that of the smallest path; texts: (path, text)."""
-    first = files.groupBy(F.col("fingerprint").alias("id")).agg(F.min("path").alias("representative_path"), F.count("*").alias("n_files"))
-    return first.join(texts.withColumnRenamed("path", "representative_path"), "representative_path", "left")
-
-
 def insert_if_absent(new: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
     """The rows of new whose key is not known."""
     return new.join(known.select(key), key, "left_anti")
@@ -60,11 +50,6 @@ def upserted(known: DataFrame, scan: DataFrame) -> DataFrame:
     )
 
 
-def reusable(scan: DataFrame, known: DataFrame) -> DataFrame:
-    """Scanned files with the fingerprint of an earlier run where path and content are unchanged, else null."""
-    return scan.join(known.select("path", "raw_sha256", "fingerprint"), ["path", "raw_sha256"], "left")
-
-
 def latest_by(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The row of the greatest order for each key; ties go to the greatest of the other columns, in turn."""
     rest = [c for c in rows.columns if c not in (key, order)]

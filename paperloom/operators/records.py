@@ -71,7 +71,7 @@ class Records:
         rows = rows.select("id", "representative_path", status.alias("status"), reason.alias("quarantine_reason"), F.coalesce("invalid", F.lit(0)).alias("invalid"), F.col("answer.raw").alias("raw"))
         if not with_text:
             return rows
-        texts = self.table("scans").where("text is not null").groupBy(F.col("fingerprint").alias("id")).agg(F.any_value("text").alias("text"))
+        texts = self.table("scans").where("text is not null").groupBy(F.col("fingerprint").alias("id")).agg(F.min_by("text", "path").alias("text"))
         return rows.join(texts, "id", "left")
 
     def results(self) -> DataFrame:
@@ -112,9 +112,9 @@ def scan(records: Records, run_id: int, source: str, settings: dict) -> None:
 
 
 def _call_rows(part: pd.DataFrame, model, retry: dict) -> Iterator[tuple]:
-    """The journal rows of each prompt: up to max_retries further tries, with growing pauses, after a timeout or failure."""
-    for document_id, attempt, prompt in zip(part["id"], part["json_attempt"], part["prompt"]):
-        for sub in range(retry["max_retries"] + 1):
+    """The journal rows of each prompt: as many tries as are granted, with growing pauses, after a timeout or failure."""
+    for document_id, attempt, tries, prompt in zip(part["id"], part["json_attempt"], part["tries"], part["prompt"]):
+        for sub in range(tries):
             if sub:
                 time.sleep(min(retry["backoff_base_s"] * 2 ** (sub - 1), retry["backoff_max_s"]) * (1 + random.random() / 4))
             began, answer = datetime.now(timezone.utc), models.Answer(None, 0, 0)
@@ -132,16 +132,31 @@ def _call_rows(part: pd.DataFrame, model, retry: dict) -> Iterator[tuple]:
                 break
 
 
+def granted(rows: list, room: int, most: int) -> dict[str, int]:
+    """Tries by id: one for each of the first rows whose reserves fit the room together, then further ones, up to most, while they fit."""
+    tries: dict[str, int] = {}
+    for r in rows:
+        if r["reserve"] > room:
+            break
+        tries[r["id"]], room = 1, room - r["reserve"]
+    for r in rows[: len(tries)]:
+        extra = min(most - 1, room // r["reserve"])
+        tries[r["id"]], room = 1 + extra, room - extra * r["reserve"]
+    return tries
+
+
 def ask_all(records: Records, run_id: int, settings: dict, model, workers: int, limit: int | None, budget: int | None) -> str:
     """Ask the model about pending documents in path order, batch by committed batch; returns why it stopped.
 
-    A batch is admitted as long as what it reserves fits the budget, so it can't
-    be exceeded. A document that fails in this run is left for the next one;
+    Every try is reserved for: a batch is admitted as long as one try of each of its
+    documents fits the budget, and what is left then grants further tries, so the
+    budget can't be exceeded. A document that fails in this run is left for the next one;
     failures in a row, over the breaker's bound, end the run.
     """
     limits, own = settings["limits"], settings["self_entities"]
     most = int(limits["max_prompt_input_tokens"] * limits["bytes_per_token_estimate"])
     taken, used, in_row, batch, retry = 0, 0, 0, 0, settings["retry"]
+    every = retry["max_retries"] + 1
     system = len(models.SYSTEM.encode())
     while True:
         tried = records.table("calls").where(F.col("run_id") == run_id).groupBy("document_id").agg(F.max_by("status", F.struct("batch", "sub_attempt")).alias("last"))
@@ -157,16 +172,12 @@ def ask_all(records: Records, run_id: int, settings: dict, model, workers: int,
         chosen = sorted(rows.collect(), key=lambda r: r["representative_path"])  # workers x PER_WORKER rows
         if not chosen:
             return "completed"
+        tries = {r["id"]: every for r in chosen}
         if budget is not None:
-            fit, reserved = [], 0
-            for r in chosen:
-                reserved += r["reserve"]
-                if used + reserved > budget:
-                    break
-                fit.append(r)
-            if not fit:
+            tries = granted(chosen, budget - used, every)
+            chosen = [r for r in chosen if r["id"] in tries]
+            if not chosen:
                 return "budget_exhausted"
-            chosen = fit
         batch += 1
 
         def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,7 +186,7 @@ def ask_all(records: Records, run_id: int, settings: dict, model, workers: int,
                 yield pd.DataFrame(list(_call_rows(part, model, retry)), columns=columns)
 
         schema = "document_id string, json_attempt int, sub_attempt int, status string, raw string, tokens_in long, tokens_out long, started_at timestamp, finished_at timestamp"
-        sent = records.spark.createDataFrame([(r["id"], r["json_attempt"], r["prompt"]) for r in chosen], "id string, json_attempt int, prompt string")
+        sent = records.spark.createDataFrame([(r["id"], r["json_attempt"], tries[r["id"]], r["prompt"]) for r in chosen], "id string, json_attempt int, tries int, prompt string")
         records.add("calls", sent.repartition(workers).mapInPandas(ask, schema).withColumns({"run_id": F.lit(run_id), "batch": F.lit(batch)}))
         reserve = {r["id"]: r["reserve"] for r in chosen}
         made = records.table("calls").where((F.col("run_id") == run_id) & (F.col("batch") == batch)).orderBy("finished_at").collect()
@@ -184,6 +195,8 @@ def ask_all(records: Records, run_id: int, settings: dict, model, workers: int,
             in_row = in_row + 1 if call["status"] in ("timeout", "unavailable") else 0
             if in_row >= retry["circuit_breaker_failures"]:
                 return "backend_unavailable"
+        if any(c["status"] in ("timeout", "unavailable") and c["sub_attempt"] + 1 == tries[c["document_id"]] < every for c in made):
+            return "budget_exhausted"
         taken += len({c["document_id"] for c in made if c["status"] != "invalid_json" or c["json_attempt"] >= JSON_ATTEMPTS})
 
 

@@ -48,8 +48,14 @@ def report(files: DataFrame, documents: DataFrame, runs: DataFrame) -> DataFrame
     one = file_counts(files).crossJoin(document_counts(documents)).crossJoin(reasons)  # single rows
     balanced = F.expr("input_files = duplicate_files + unique_documents and unique_documents = processed_ok + quarantined + not_started")
     one = one.withColumn("input_files", F.when(balanced, F.col("input_files")).otherwise(F.raise_error(F.lit("the report does not balance")).cast("long")))
-    last = latest_run(runs).select("tokens_in", "tokens_out", "estimated_cost", "wall_time_s", "backend", F.col("model_tag").alias("model"), "stop_reason")
-    return one.join(last, how="left")
+    # an aggregate is one row also without any run
+    digest = F.col("model_digest") if "model_digest" in runs.columns else F.lit(None)
+    model = F.concat("model_tag", F.lit("@"), F.coalesce(digest, F.lit("")))
+    last = latest_run(runs).select("tokens_in", "tokens_out", "estimated_cost", "wall_time_s", "backend", model.alias("model"), "stop_reason")
+    zero, free = F.lit(0).cast("long"), F.lit("0.00")
+    return one.crossJoin(last).withColumns(
+        {"tokens_in": F.coalesce("tokens_in", zero), "tokens_out": F.coalesce("tokens_out", zero), "estimated_cost": F.coalesce("estimated_cost", free)}
+    )
 
 
 def matched(expected: DataFrame, files: DataFrame) -> DataFrame:

@@ -32,7 +32,11 @@ def current(spark: SparkSession, state: str) -> DataFrame:
 
 def drained(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Files streamed in two arrivals; (path, representative_path, status) afterwards."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+        root = "file:///tmp/checkpoints"
     base = f"{root.rstrip('/')}/paperloom-stream-{uuid.uuid4().hex}"
     spark.createDataFrame([], "path string, raw_sha256 string, fingerprint string").write.parquet(f"{base}/state")
     for arrival in ("b", "a"):  # the smaller paths come last and still become representatives

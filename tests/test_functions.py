@@ -70,9 +70,11 @@ def test_text(spark):
     assert each(spark, ["", "abc", "abcd"], lambda c: T.input_tokens(c)) == [1, 2, 2]
 
 
-def test_names():
-    agree = matchers.names_agree
-    assert agree("Acme Sp. z o.o.", '"ACME"') and agree(None, "") and not agree("Acme", None) and agree("Technova", "Technowa") and not agree("Alfa", "Omega")
+def test_names(spark):
+    rows = [("Acme Sp. z o.o.", '"ACME"', True), (None, "", True), ("Acme", None, False), ("Technova", "Technowa", True), ("Alfa", "Omega", False),
+            ("Żółw S.A.", "zołw", True), ("GmbH", "Ltd.", True), ("", "Beta", False), ("A\u00a0 B,  C", "a b c", True)]
+    frame = spark.createDataFrame(rows, "a string, b string, want boolean")
+    assert frame.where(~F.col("want").eqNullSafe(matchers.names(F.col("a"), F.col("b")))).collect() == []
 
 
 def test_excerpt():
@@ -82,6 +84,17 @@ def test_excerpt():
     assert got.count(prompts.GAP) == 2
 
 
+def test_windows():
+    at = lambda *places: "".join("total" if k in places else "....." for k in range(200))
+    assert [len(w) for w in prompts.windows(at(0, 100), 10_000)] == [155, 305]
+    # the second hit is inside the first window, the third window begins in it, the fourth touches nothing
+    assert [len(w) for w in prompts.windows(at(31, 40, 60, 130), 10_000)] == [305, 305]
+    # the first keyword's window fills the budget
+    assert len(prompts.windows("nip" + "." * 1000 + "vat", 100)) == 1 and prompts.windows("nip", 0) == [] and prompts.windows("", 5) == []
+    # a clipped window that ends in the first one is turned down
+    assert prompts.windows("vat" + "x" * 149 + "nip" + "y" * 149 + "vat", 10_000) == ["t" + "x" * 149 + "nip" + "y" * 149 + "v"]
+
+
 def test_two_stages(spark):
     rows = [("b.txt", "Hello  World"), ("a.txt", "hello world"), ("c.txt", "Hello  World"), ("d.txt", None), ("e.txt", "other")]
     frame = spark.createDataFrame([(p, len(t or ""), f"h{t}", t) for p, t in rows], "path string, size_bytes long, raw_sha256 string, text string")

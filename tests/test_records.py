@@ -77,6 +77,20 @@ def test_limits_budget_breaker_and_resume(spark, tmp_path):
     assert records.Records(spark, db).report().first()["processed_ok"] == 2
 
 
+def test_budget_holds_with_tries_that_time_out(spark, tmp_path):
+    def _late(_):
+        raise models.ModelTimeout("late")
+
+    source, db = archive(tmp_path), str(tmp_path / "db")
+    rows = [{"id": "a", "reserve": 10}, {"id": "b", "reserve": 20}, {"id": "c", "reserve": 5}]
+    assert records.granted(rows, 29, 3) == {"a": 2} and records.granted(rows, 35, 3) == {"a": 1, "b": 1, "c": 1}
+    assert records.granted(rows, 65, 3) == {"a": 3, "b": 1, "c": 3} and records.granted(rows, 9, 3) == {}
+    # room for more than one try, for fewer than two
+    room = int(1.5 * (models.Fake({}).most_tokens + (len(models.SYSTEM.encode()) + 450) / 3))
+    assert records.run(spark, source, db, settings(max_retries=2, circuit_breaker_failures=99), budget=room, model=models.Fake({}, _late)) == "budget_exhausted"
+    assert records.Records(spark, db).table("calls").count() == 1
+
+
 def test_http_backends():
     seen = []
 
