@@ -35,7 +35,7 @@ from paperloom.llm import shared
 
 #: Seeds of whole windows: weight 7 or 8 within 11 or 12 tokens; covering() adds what they leave.
 MASKS = ("11101100111", "110110011011", "111011010011", "11111111")
-WINDOW, IDENTITY, MIN_ITEM = 13, 0.8, 5
+WINDOW, IDENTITY, MIN_ITEM = 13, 0.8, 3
 #: Characters of benchmark text in a block.
 BLOCK_CHARS = 8_000_000
 #: Tokens of documents that are hashed at once.
@@ -59,7 +59,7 @@ def allowed(n: int) -> int:
 def covering(n: int, masks: tuple[str, ...] = ()) -> tuple[str, ...]:
     """masks, and more of weight 4 to 6, so that every arrangement of the allowed substitutions in n tokens leaves one untouched at some place."""
     lost = allowed(n)
-    weight = max(4, min(6, n - lost - 1))
+    weight = max(min(4, n), min(6, n - lost - 1))
     tries = ["".join("1" if k in ones else "0" for k in range(max(ones) + 1)) for rest in combinations(range(1, n), weight - 1) if (ones := {0, *rest})]
 
     def hit(mask: str) -> set[tuple[int, ...]]:
@@ -170,11 +170,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
                 for item, start, d in seeds.hits(w, begins).tolist():
                     if span := seeds.verify(w, item, start, int(begins[d]), int(ends[d])):
                         out.append((*rows[d], seeds.ids[item], *span))
-                return pd.DataFrame(out, columns=["doc_id", "tkey", "item_id", "first", "end", "equal"]).astype({"doc_id": "Int64"})
+                return pd.DataFrame(out, columns=["doc_id", "tkey", "item_id", "first", "end", "equal"])
 
             rows, words, size = [], [], 0
             for part in parts:
-                for doc_id, tkey, text in zip(part["doc_id"].astype("Int64"), part["tkey"], part["text"]):
+                for doc_id, tkey, text in zip(part["doc_id"], part["tkey"], part["text"]):
                     ids = [known(x, 0) for x in tokens(text)]
                     ids.append(0)
                     rows.append((doc_id, tkey))
@@ -186,7 +186,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
             if rows:
                 yield flush(rows, words)
 
-        found.append(shared.stored(keyed.mapInPandas(scan, schema), "seed-hits")[0])
+        found.append(shared.stored(shared.mapped(keyed, scan, schema), "seed-hits")[0])
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -211,10 +211,12 @@ def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without any overlap."""
-    bad, _ = shared.stored(overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("tkey").alias("bad_key")).distinct(), "seed-bad")
+    bad, _ = shared.stored(overlaps(docs, benchmark).select(F.col("doc_id").alias("id"), "tkey").distinct(), "seed-bad")
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
-    here = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (here == F.col("bad_key")), "left_anti")
+    # rows travel as structs, so that no column of theirs can clash
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("here")).alias("d")
+    left = own.join(bad.alias("b"), F.expr("d.row.doc_id <=> b.id and d.here = b.tkey"), "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:

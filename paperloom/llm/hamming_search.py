@@ -13,7 +13,7 @@ indexes; the stated queries meet every block. Defined results: rows without
 identifier, and vectors that are null, of another than the most common length,
 zero, or with null or non-finite components take no part; ties go to the smaller
 vec_id; rows of the query's own vec_id are no candidates; repeated rows are
-candidates each; an empty table gives an empty result; other columns are ignored.
+candidates each and ask once, of several vectors with one vec_id the smallest; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ ENOUGH = 25
 #: Vectors from which the rotation is learned, those of the smallest hashes.
 SAMPLE, ROUNDS = 16_384, 25
 #: Mean vectors and queries of a block.
-BLOCK, QUERIES = 32_768, 4_096
+BLOCK, QUERIES = 32_768, 32_768
 
 
 def learn(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -116,11 +116,12 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = K, radius: int = RAD
     if not sample:
         return data.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     model = learn(np.array([r["embedding"] for r in sample]))
-    total, asked = data.agg(F.count("*"), F.count_if(F.expr(f"vec_id % {every} = 0"))).first()
-    blocks, groups = max(1, -(-total // BLOCK)), max(1, -(-asked // QUERIES))
+    total, wanted = data.agg(F.count("*"), F.count_if(F.expr(f"vec_id % {every} = 0"))).first()
+    blocks, groups = max(1, -(-total // BLOCK)), max(1, -(-wanted // QUERIES))
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     deal_q = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int")
-    left = data.where(f"vec_id % {every} = 0").withColumn("g", deal_q).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked = data.where(f"vec_id % {every} = 0").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    left = asked.withColumn("g", deal_q).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = data.withColumn("b", deal(blocks)).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def meet(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:

@@ -290,11 +290,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
         def flush(ids: list, tokens: list) -> pd.DataFrame:
             p, base, known = maps.score(tokens)
-            return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "n_tokens": [len(t) for t in tokens], "n_known": known, "score": p, "base_score": base})
+            return pd.DataFrame({"doc_id": ids, "n_tokens": [len(t) for t in tokens], "n_known": known, "score": p, "base_score": base})
 
         ids, tokens, size = [], [], 0
         for part in parts:
-            for doc_id, text in zip(part["doc_id"].astype("Int64"), part["text"]):
+            for doc_id, text in zip(part["doc_id"], part["text"]):
                 ids.append(doc_id)
                 tokens.append(token_hashes(text))
                 size += len(tokens[-1])
@@ -304,7 +304,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         if ids:
             yield flush(ids, tokens)
 
-    return shared.whole_text(docs, "doc_id").mapInPandas(run, "doc_id long, n_tokens long, n_known long, score double, base_score double")
+    return shared.mapped(shared.whole_text(docs, "doc_id"), run, "doc_id long, n_tokens long, n_known long, score double, base_score double")
 
 
 def fold(of: int) -> Column:

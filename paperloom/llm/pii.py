@@ -343,6 +343,14 @@ def _runs_in(text: str) -> list[tuple[list[str], list[int], int, int]]:
     return out
 
 
+def fits(found: str, kind: int) -> bool:
+    """Whether what the field found can be of its kind: a card number passes Luhn's check, a phone number has 7 to 15 digits."""
+    digits = "".join(c for c in found if "0" <= c <= "9")
+    if KINDS[kind] == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return KINDS[kind] != "phone" or 7 <= len(digits) <= 15
+
+
 def field_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]:
     """(start, end, kind number) that the field finds in each text, trimmed of punctuation at the ends."""
     owners, places, runs = [], [], []
@@ -364,7 +372,8 @@ def field_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int
                     e -= 1
                 while b < e and not texts[k][b].isalnum() and texts[k][b] not in "+(":
                     b += 1
-                out[k].append((b, e, (labels[t] - 1) // 2))
+                if fits(texts[k][b:e], (labels[t] - 1) // 2):
+                    out[k].append((b, e, (labels[t] - 1) // 2))
                 t = stop
             else:
                 t += 1
@@ -385,14 +394,14 @@ def find(docs: DataFrame) -> DataFrame:
         for part in parts:
             rows = []
             texts = part["text"].tolist()
-            for doc_id, base, more in zip(part["doc_id"].astype("Int64"), map(base_spans, texts), field_spans(texts, own)):
+            for doc_id, base, more in zip(part["doc_id"], map(base_spans, texts), field_spans(texts, own)):
                 free = [s for s in more if s[0] < s[1] and all(s[1] <= b or e <= s[0] for b, e, _ in base)]
                 counts = np.bincount([k for _, _, k in base], minlength=4)
                 rows.append((doc_id, *map(int, counts), written(base), written(sorted(base + free, key=lambda s: (s[0], s[2])))))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "spans"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string"
-    return shared.whole_text(docs, "doc_id").mapInPandas(run, schema)
+    return shared.mapped(shared.whole_text(docs, "doc_id"), run, schema)
 
 
 def digest(text: str) -> str:

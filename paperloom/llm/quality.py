@@ -82,7 +82,7 @@ def features(docs: DataFrame) -> DataFrame:
             yield out
 
     kinds = ", ".join(f"{c} float" for c in COLUMNS)
-    return shared.whole_text(docs, "doc_id").mapInPandas(run, f"doc_id long, {kinds}")
+    return shared.mapped(shared.whole_text(docs, "doc_id"), run, f"doc_id long, {kinds}")
 
 
 def moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
@@ -143,7 +143,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for part in parts:
             yield pd.DataFrame({"doc_id": part["doc_id"], "score": probability(model, part[COLUMNS].to_numpy(float))})
 
-    return known.mapInPandas(run, "doc_id long, score double")
+    return shared.mapped(known, run, "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

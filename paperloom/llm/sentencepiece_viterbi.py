@@ -258,18 +258,19 @@ def encoded(docs: DataFrame, model: bytes | None = None, criterion: str = "viter
                     same = pieces.decode(ids) == t.replace(SPACE, " ")
                     rows.append((len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), same))
             out = pd.DataFrame(rows, columns=["n_pieces", "ids_sha256", "round_trip"])
-            out.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy(dtype=object))
+            out.insert(0, "doc_id", part["doc_id"].to_numpy())
             yield out
 
-    return shared.whole_text(docs, "doc_id").mapInPandas(run, "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean")
+    return shared.mapped(shared.whole_text(docs, "doc_id"), run, "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean")
 
 
 def with_pieces(docs: DataFrame, model: bytes | None = None, criterion: str = "viterbi") -> DataFrame:
-    """docs with the column pieces, the numbers of its text's pieces; text becomes what they decode to."""
+    """docs with the column pieces, the numbers of its text's pieces, in place of a column of that name; text becomes what they decode to."""
     import pyarrow as pa
 
     data = model if model is not None else Path(default_model()).read_bytes()
     sent = docs.sparkSession.sparkContext.broadcast(data)
+    docs = docs.select(*[docs[c] for c in docs.columns if c != "pieces"])
     at = docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
 

@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(LOCAL_SHARED)
     return f"file://{LOCAL_SHARED}"
@@ -61,6 +63,13 @@ def whole_text(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def mapped(rows: DataFrame, run, schema: str) -> DataFrame:
+    """mapInPandas whose first column is a long identifier, which travels as text: with a null in a batch, pandas would make it a double."""
+    name = schema.split()[0]
+    out = rows.withColumn(name, F.col(name).cast("string")).mapInPandas(run, schema.replace(" long", " string", 1))
+    return out.withColumn(name, F.col(name).cast("long"))
+
+
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """(node, component) for every node of the edges (a, b); component is the smallest node reachable.
 

@@ -5,7 +5,8 @@ shingles. Fingerprints within a Hamming radius are linked and documents take the
 smallest identifier of their connected group.
 
 Defined results: a null text counts as empty; a text without words has
-fingerprint zero and is linked like any other; repeated rows each give a row;
+fingerprint zero and is linked like any other; repeated rows each give a row; a
+null doc_id links like any other but is no component, which is null where all are;
 an empty table gives an empty result; other columns are ignored.
 
 similar() links texts by the Jaccard similarity of their sets of word shingles:
@@ -76,7 +77,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> Data
             fps = [majority(text_hashes(t, size, seed)) for t in part["text"]]
             yield pd.DataFrame({"doc_id": part["doc_id"], "fp": np.array(fps, np.uint64).view(np.int64)})
 
-    return shared.whole_text(docs, "doc_id").mapInPandas(run, "doc_id long, fp long")
+    return shared.mapped(shared.whole_text(docs, "doc_id"), run, "doc_id long, fp long")
 
 
 def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
@@ -205,7 +206,7 @@ def sketches(docs: DataFrame, folder: str, size: int, seed: int, percent: int) -
                 yield pd.DataFrame({"doc_id": part["doc_id"], "s1": signed(s1), "s2": signed(s2), "n": np.array(n, np.int64), "level": level,
                                     "fp": signed(fp), "file": name, "at": np.array(place, np.int64)})
 
-    return shared.whole_text(docs, "doc_id").mapInPandas(run, schema)
+    return shared.mapped(shared.whole_text(docs, "doc_id"), run, schema)
 
 
 def similar_links(sets: DataFrame, folder: str, radius: int, percent: int, block: int = BLOCK) -> DataFrame:

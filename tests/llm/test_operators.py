@@ -271,6 +271,16 @@ def test_block_retrieves_every_code_within_the_radius():
         assert block.within(codes[7], radius).tolist() == np.flatnonzero(distance <= radius).tolist()
 
 
+def test_search_with_repeated_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(rng.normal(size=(70, 16)))]
+    frame = spark.createDataFrame(rows + [rows[20], rows[5]], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in hamming_search.search(frame).where("query_id = 20").orderBy("rank").collect()]
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    order = sorted((-(x[k] @ x[20]), k) for k in [*range(70), 5] if k != 20)[:20]
+    assert [g[1] for g in got] == list(range(1, 21)) and [g[2] for g in got] == [k for _, k in order]
+
+
 def test_search_of_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (3, [0.5, 0.5]), (2, [0.5, 0.5]), (20, [-1.0, 0.0])], "vec_id long, embedding array<float>")
     got = [tuple(r)[:3] for r in hamming_search.search(few).orderBy("query_id", "rank").collect()]
@@ -296,6 +306,61 @@ def test_main_text_without_article_keeps_the_surge():
     assert html_extract.main_text(page).split("\n") == [long.strip(), long.strip(), "Short end."]
 
 
+LONG = "A sentence of the article that goes on for a while, as such sentences do. " * 2
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<p class=ad>Buy now<p>" + LONG, LONG.strip()),
+        ("<ul><li class=menu>Home<li>" + LONG + "</ul>", LONG.strip()),
+        ("<table><tr><td class=menu>Home<td>" + LONG + "<tr><td class=ad>x</table>", LONG.strip()),
+        ("<dl><dt class=ad>x<dd>" + LONG, LONG.strip()),
+        (f"<div>{LONG}<div class=advert>Buy</div>Short closing line.</div>", LONG.strip() + "\nShort closing line."),
+        (f"<div>{LONG}</div><aside>Other</aside><div><a href=x>more</a> of it</div>", LONG.strip()),
+        (f"<div>{LONG}</div><aside>Other</aside><article><h2>Head</h2><p>{LONG}</p><div class=ad>ad</div><p>End.</p></article>", f"Head\n{LONG.strip()}\nEnd."),
+        (f"<p>{LONG}</p><p>with <math><mi>x</mi></math> and <svg><text>label</text></svg>", LONG.strip() + "\nwith x and label"),
+    ],
+)
+def test_main_text_by_windows_and_implied_ends(html, want):
+    assert html_extract.main_text(html) == want
+
+
+def test_main_text_does_not_need_the_wrappers(spark):
+    strip = lambda h: re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", h, flags=re.I)
+    for row in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        assert html_extract.main_text(row["html"]) == html_extract.main_text(strip(row["html"])) != ""
+
+
+def test_identifiers_are_exact_beside_nulls(spark):
+    """Beyond 2^53 and with a null in the batch, in every operator that goes through Python."""
+    big = 2**53 + 1
+    frame = docs_of(spark, [(big, "one two three"), (None, "four five"), (big + 2, None)])
+    want = {big, None, big + 2}
+    ids = lambda df, name="doc_id": {r[name] for r in df.collect()}
+    labels = spark.createDataFrame([(big, 1)], "doc_id long, quality int")
+    tests = spark.createDataFrame([(1, "alpha beta gamma delta epsilon")], "item_id long, text string")
+    assert ids(quality.scored(frame, labels)) == want and ids(sentencepiece_viterbi.encoded(frame)) == want
+    assert ids(decontaminate.mark(frame, tests)) == want and ids(decontaminate.remove(frame, tests)) == want
+    assert ids(kneser_ney.score(frame, kneser_ney.train(frame))) == want and ids(pii.find(frame)) == want
+    assert ids(simhash.near_duplicates(frame)) == want and ids(simhash.keep_one(frame, size=5, percent=80)) == want
+    pages = spark.createDataFrame([(big, "u", "a"), (None, "u", "b")], "page_id long, url string, html string")
+    assert ids(html_extract.extract(pages), "page_id") == {big, None}
+    hit = decontaminate.overlaps(docs_of(spark, [(big, "alpha beta gamma delta epsilon"), (None, "x")]), tests).collect()
+    assert [r["doc_id"] for r in hit] == [big]
+
+
+def test_stages_keep_clashing_columns(spark):
+    frame = docs_of(spark, [(1, "alpha beta gamma delta epsilon"), (2, "clean text")])
+    for name in ("bad_id", "id", "tkey", "row", "here", "pieces"):
+        frame = frame.withColumn(name, F.lit("own"))
+    tests = spark.createDataFrame([(1, "alpha beta gamma delta epsilon")], "item_id long, text string")
+    left = decontaminate.remove(frame, tests)
+    assert left.columns == frame.columns and [(r["doc_id"], r["bad_id"], r["row"]) for r in left.collect()] == [(2, "own", "own")]
+    out = sentencepiece_viterbi.with_pieces(frame)
+    assert out.columns.count("pieces") == 1 and all(len(r["pieces"]) for r in out.collect())
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (3, "u", "<p>only", 1), (3, "u", "<p>only", 1), (None, "u", "plain", 1), (4, "u", "<p>x" * 20_000, 1), (5, "u", "<p>cut <foo", 1)]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
@@ -470,9 +535,9 @@ def test_decontamination_finds_substituted_passages_only(spark):
     rows += [(20 + k, words(rng, 60)) for k in range(20)] + [(None, items[1])]
     got = decontaminate.mark(docs_of(spark, rows), bench).collect()
     found = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["item_ids"]) for r in got if r["contaminated"])
-    assert found == [(-1, [1]), (0, [0]), (1, [1]), (2, [2]), (3, [3]), (4, [4]), (10, [0]), (11, [2]), (14, [1])] and len(got) == len(rows)
+    assert found == [(-1, [1]), (0, [0]), (1, [1]), (2, [2]), (3, [3]), (4, [4]), (5, [5]), (10, [0]), (11, [2]), (14, [1])] and len(got) == len(rows)
     left = decontaminate.remove(docs_of(spark, rows), bench)
-    assert left.columns == docs_of(spark, rows).columns and left.count() == len(rows) - 9
+    assert left.columns == docs_of(spark, rows).columns and left.count() == len(rows) - 10
     assert decontaminate.mark(docs_of(spark, rows[:3]), bench.where("false")).where("contaminated").count() == 0
     assert decontaminate.mark(docs_of(spark, []), bench).count() == 0
 
@@ -590,6 +655,12 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == plain_spans(text), text
 
 
+def test_field_spans_fit_their_kind():
+    assert pii.fits("4539 1488 0343 6467", 2) and not pii.fits("1234567890123456", 2) and not pii.fits("12 34", 3) and pii.fits("(632) 555-4827", 3)
+    found = pii.field_spans(["order 1234567890123456 of", "id 9999999999999999"], pii.trained())
+    assert all(kind != 2 for spans in found for _, _, kind in spans)
+
+
 def test_field_decoding_equals_brute_force():
     field = pii.trained()
     rng = random.Random(14)
