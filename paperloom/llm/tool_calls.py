@@ -103,7 +103,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> Da
     """(scope, call_id, position, level, valid, linked, n_calls, n_results, json): a row per distinct call."""
     calls, _ = shared.stored(_first(calls.select("scope", "call_id", "position", "name", "arguments", "after"), ("position", "name", "arguments"), "n_calls"), "calls")
     found = _first(results.select("scope", "call_id", "position", "content"), ("position", "content"), "n_results").drop("position")
-    joined = calls.join(levels(calls), ["scope", "call_id"], "left").join(found, ["scope", "call_id"], "left")
+    joined = calls.join(levels(calls), ["scope", "call_id"], "left").join(found.hint("shuffle_hash"), ["scope", "call_id"], "left")
     ok = valid(F.col("name"), F.col("arguments"), schemas)
     # variants hold the keys of objects in order, so their text is canonical
     arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), F.to_json(F.struct("arguments")))
