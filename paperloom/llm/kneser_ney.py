@@ -1,15 +1,18 @@
-"""Interpolated modified Kneser-Ney bigram scoring.
+"""Interpolated modified Kneser-Ney scoring, trigrams by default.
 
-Bigrams are counted in Spark: workers send each shard (by context hash) the
+N-grams are counted in Spark: workers send each shard (by context hash) the
 counts of a chunk, a shard's task adds them up and writes sorted hash arrays to
-the shared folder, and what it knows of the continuation counts goes on to
-shards by word. Workers that score memory-map all arrays read-only, so a model
-of any size costs them no memory of their own. The shared folder must be
-mounted as a file system for that.
+the shared folder, and what it knows of the next lower order goes on to shards
+of that order, down to the words. Words travel as numbers into a small
+vocabulary beside them. Workers that score memory-map the arrays read-only, one
+shard at a time, so a model of any size costs them no memory of their own. The
+shared folder must be mounted as a file system for that.
 
 Tokens: ASCII white space splits words, A-Z are lower-cased, an end token
-follows the last word. The lowest order interpolates continuation counts with
-the uniform distribution over the V known tokens and one unknown.
+follows the last word, start tokens stand before the first. Orders below the
+highest count distinct tokens to the left; an n-gram that begins with a start
+token, which nothing else precedes, keeps its count. Words interpolate with the
+uniform distribution over the V known tokens and one unknown.
 
 Defined results: a null text is empty and has one token, the end; repeated rows
 count and are scored as often as they occur; a null doc_id hashes as an empty
@@ -21,7 +24,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
@@ -32,8 +34,11 @@ from pyspark.sql import functions as F
 from paperloom.llm import shared
 
 FOLDS, HELD = 5, 1
+ORDER = 3
 #: Tokens counted or scored at once by a worker.
 CHUNK = 1 << 21
+#: Bytes of text for each shard, so that a counting task holds what its memory allows at any size of the corpus.
+SHARD_BYTES = 1 << 24
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,40 +58,90 @@ def pair_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def contexts(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(u, w) of every token of the texts."""
-    w = np.concatenate(tokens)
-    u = np.empty_like(w)
-    u[1:] = w[:-1]
-    ends = np.cumsum([len(t) for t in tokens])
-    u[0] = START
-    u[ends[:-1]] = START
-    return u, w
+def context_keys(columns: list[np.ndarray]) -> np.ndarray:
+    key = columns[0]
+    for column in columns[1:]:
+        key = pair_keys(key, column)
+    return key
+
+
+def gram_keys(context: np.ndarray, w: np.ndarray, shift: np.uint64) -> np.ndarray:
+    """Keys whose upper bits are the context's, so that they sort by shard."""
+    bits = np.uint64(64) - shift
+    return (context >> shift << shift) | (pair_keys(context, w) >> bits)
+
+
+def windows(w: np.ndarray, begins: np.ndarray, order: int, start) -> list[np.ndarray]:
+    """Columns of the n-grams that end at every token; start fills what lies before a text."""
+    columns = [w]
+    for _ in range(order - 1):
+        back = np.empty_like(columns[0])
+        back[1:] = columns[0][:-1]
+        back[begins] = start
+        columns.insert(0, back)
+    return columns
+
+
+def _begins(tokens: list[np.ndarray]) -> np.ndarray:
+    return np.cumsum([0, *[len(t) for t in tokens[:-1]]])
+
+
+def _composite(columns: list[np.ndarray], d: int) -> np.ndarray:
+    """One key for columns of numbers below d, in their lexicographic order."""
+    key, size = columns[0].astype(np.uint64), d
+    for column in columns[1:]:
+        if size * d >= 1 << 63:
+            key = np.unique(key, return_inverse=True)[1].astype(np.uint64)
+            size = len(key)
+        key = key * np.uint64(d) + column.astype(np.uint64)
+        size *= d
+    return key
+
+
+def _firsts(ranked: np.ndarray) -> np.ndarray:
+    """Where a value begins in sorted values."""
+    return np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))[: len(ranked)])
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, first): order sorts the keys, first has the positions in it where a key begins."""
     order = np.argsort(keys)
-    ranked = keys[order]
-    return order, np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))[: len(keys)])
+    return order, _firsts(keys[order])
+
+
+def _small(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length, each in its smallest unsigned type (64 bits for hashes)."""
+    """Columns of one length, each in as few bytes (1, 2, 3, 4 or 8) as its largest value needs; hashes have 8."""
     parts = [np.array([len(columns[0])], "<u8").tobytes()]
     for column in columns:
-        kind = column.dtype if column.dtype == np.uint64 else np.min_scalar_type(int(column.max(initial=0)))
-        parts += [np.array([kind.itemsize], "<u8").tobytes(), column.astype(kind).tobytes()]
+        top = int(column.max(initial=0))
+        width = 8 if column.dtype == np.uint64 else next(b for b in (1, 2, 3, 4, 8) if top < 1 << 8 * b)
+        if width == 3:
+            data = np.ascontiguousarray(column.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+        else:
+            data = column.astype(f"<u{width}")
+        parts += [np.array([width], "<u8").tobytes(), data.tobytes()]
     return b"".join(parts)
 
 
-def _unpack(blob: bytes, n: int) -> list[np.ndarray]:
-    size, at, out = int(np.frombuffer(blob, "<u8", 1)[0]), 8, []
+def _unpack(blob: bytes, n: int, at: int = 0) -> tuple[list[np.ndarray], int]:
+    """n columns packed at a place of blob, and the place behind them."""
+    size, out = int(np.frombuffer(blob, "<u8", 1, at)[0]), []
+    at += 8
     for _ in range(n):
         width = int(np.frombuffer(blob, "<u8", 1, at)[0])
-        out.append(np.frombuffer(blob, f"<u{width}", size, at + 8))
-        at += 8 + width * size
-    return out
+        at += 8
+        if width == 3:
+            full = np.zeros((size, 4), np.uint8)
+            full[:, :3] = np.frombuffer(blob, np.uint8, 3 * size, at).reshape(-1, 3)
+            out.append(full.view("<u4")[:, 0])
+        else:
+            out.append(np.frombuffer(blob, f"<u{width}", size, at))
+        at += width * size
+    return out, at
 
 
 def _slices(shard: np.ndarray, n: int) -> list[tuple[int, int, int]]:
@@ -94,11 +149,63 @@ def _slices(shard: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return [(k, int(b), int(e)) for k, (b, e) in enumerate(zip(cuts, cuts[1:])) if e > b]
 
 
-def _local(path: str) -> str:
-    url = urlparse(path)
-    if url.scheme not in ("", "file"):
-        raise ValueError(f"the model is memory-mapped: spark.checkpoint.dir must be a mounted file system, not {url.scheme}")
-    return url.path
+def _sent(vocabulary: np.ndarray, columns: list[np.ndarray], values: list[np.ndarray], shift: np.uint64, n: int) -> pd.DataFrame:
+    """(shard, blob) of n-grams sorted by their columns, which are numbers into vocabulary; a word is its own context."""
+    heads, tails = (columns[:-1], columns[-1:]) if len(columns) > 1 else (columns, [])
+    change = np.zeros(len(heads[0]), bool)
+    change[:1] = True
+    for x in heads:
+        change[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(change)
+    runs = np.diff(np.append(first, len(change)))
+    heads = [x[first] for x in heads]
+    shard = (context_keys([vocabulary[x] for x in heads]) >> shift).astype(np.uint16 if n <= 1 << 16 else np.uint32)
+    by = np.argsort(shard, kind="stable")
+    of_gram = np.repeat(shard, runs)
+    by_gram = np.argsort(of_gram, kind="stable")
+    ends = np.append(0, np.cumsum(runs[by]))
+    rows = []
+    for k, b, e in _slices(shard[by], n):
+        c, g = by[b:e], by_gram[ends[b] : ends[e]]
+        numbers = [*(x[c] for x in heads), *(x[g] for x in tails)]
+        used, new = np.unique(np.concatenate(numbers), return_inverse=True)
+        numbers = np.split(new, np.cumsum([len(x) for x in numbers])[:-1])
+        blob = _pack(vocabulary[used]) + _pack(*numbers[: len(heads)], runs[c]) + _pack(*numbers[len(heads) :], *(v[g] for v in values))
+        rows.append((k, blob))
+    return pd.DataFrame(rows, columns=["shard", "blob"])
+
+
+def _received(parts: Iterator[pd.DataFrame], k: int, n_values: int) -> tuple | None:
+    """(shard, vocabulary, columns, values) of what _sent sent to one shard; None where nothing came."""
+    shard, found = None, []
+    for part in parts:
+        for at_shard, blob in zip(part["shard"], part["blob"]):
+            shard = int(at_shard)
+            (words,), at = _unpack(blob, 1)
+            heads, at = _unpack(blob, max(k - 1, 1) + 1, at)
+            tails, at = _unpack(blob, (k > 1) + n_values, at)
+            found.append((words, heads[:-1], heads[-1], tails))
+    if shard is None:
+        return None
+    vocabulary = np.unique(np.concatenate([f[0] for f in found]))
+    columns: list = [[] for _ in range(k)]
+    values: list = [[] for _ in range(n_values)]
+    for words, heads, runs, tails in found:
+        number = np.searchsorted(vocabulary, words).astype(np.uint32)
+        for j, x in enumerate(heads):
+            columns[j].append(np.repeat(number[x], runs.astype(np.int64)))
+        if k > 1:
+            columns[-1].append(number[tails[0]])
+        for out, x in zip(values, tails[k > 1 :]):
+            out.append(x.astype(np.int64))
+    return shard, vocabulary, [np.concatenate(x) for x in columns], [np.concatenate(x) for x in values]
+
+
+def _summed(columns: list[np.ndarray], values: list[np.ndarray], d: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Distinct n-grams in order, the sums of their values, and how many rows each had."""
+    order, first = _groups(_composite(columns, d))
+    at = order[first]
+    return [x[at] for x in columns], [np.add.reduceat(v[order], first) for v in values], np.diff(np.append(first, len(order)))
 
 
 def _save(folder: str, name: str, array: np.ndarray) -> None:
@@ -109,33 +216,33 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(part, f"{folder}/{name}.npy")
 
 
-def train(docs: DataFrame, shards: int | None = None) -> dict:
-    """Count the texts of docs; returns the model: its folder, shards, totals and discounts.
+def train(docs: DataFrame, shards: int | None = None, order: int = ORDER) -> dict:
+    """Count the texts of docs; returns the model: its folder, order, shards, totals and discounts.
 
-    shards is a power of two, by default at least spark.sql.shuffle.partitions,
-    and bounds what a counting task holds.
+    shards is a power of two and bounds what a counting task holds; by default
+    it follows the bytes of the texts, with at least spark.sql.shuffle.partitions.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
-    want = shards or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    texts = shared.whole_text(docs)
+    want = shards
+    if not want:
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        want = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     bits = max(1, (want - 1).bit_length())
     n, shift = 1 << bits, np.uint64(64 - bits)
     path = shared.table_path(spark, "kneser-ney")
-    folder = _local(path)
+    folder = shared.local_path(path)
     os.makedirs(folder)
     shared.when_done_forget(spark, path)
 
     def chunk_counts(tokens: list[np.ndarray]) -> pd.DataFrame:
-        u, w = contexts(tokens)
-        order, first = _groups(pair_keys(u, w))
-        c = np.diff(np.append(first, len(order)))
-        u, w = u[order[first]], w[order[first]]
-        by = np.argsort(u)
-        u, w, c = u[by], w[by], c[by]
-        rows = []
-        for k, b, e in _slices((u >> shift).astype(np.int64), n):
-            run = np.flatnonzero(np.concatenate(([True], u[b + 1 : e] != u[b : e - 1])))
-            rows.append((k, _pack(u[b:e][run], np.diff(np.append(run, e - b))) + _pack(w[b:e], c[b:e])))
-        return pd.DataFrame(rows, columns=["shard", "blob"])
+        vocabulary, w = np.unique(np.concatenate(tokens), return_inverse=True)
+        columns = windows(w, _begins(tokens), order, len(vocabulary))
+        vocabulary = np.append(vocabulary, START)
+        columns, _, c = _summed(columns, [], len(vocabulary))
+        return _sent(vocabulary, columns, [c], shift, n)
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -149,65 +256,62 @@ def train(docs: DataFrame, shards: int | None = None) -> dict:
         if held:
             yield chunk_counts(held)
 
-    def pairs_of(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        heads, runs = _unpack(blob, 2)
-        w, c = _unpack(blob[24 + heads.nbytes + runs.nbytes :], 2)
-        return np.repeat(heads, runs.astype(np.int64)), w, c.astype(np.int64)
-
-    def bigrams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, shard = [], None
-        for part in parts:
-            for k, blob in zip(part["shard"], part["blob"]):
-                shard = int(k)
-                found.append(pairs_of(blob))
-        if shard is None:
-            return
-        u, w, c = (np.concatenate(x) for x in zip(*found))
-        del found
-        keys = pair_keys(u, w)
-        order, first = _groups(keys)
-        c = np.add.reduceat(c[order], first)
-        at = order[first]
-        u, w, keys = u[at], w[at], keys[at]
-        _save(folder, f"pair-{shard}", keys)
-        _save(folder, f"pair-count-{shard}", c.astype(np.uint32 if c.max() < 1 << 32 else np.uint64))
-        order, first = _groups(u)
-        ranked = c[order]
-        _save(folder, f"context-{shard}", u[order[first]])
-        levels = [np.add.reduceat(x.astype(np.int64), first) for x in (ranked, ranked == 1, ranked == 2, ranked > 2)]
-        _save(folder, f"context-counts-{shard}", np.stack(levels, axis=1))
-        _save(folder, f"pair-stats-{shard}", np.array([len(c), *[(c == k).sum() for k in (1, 2, 3, 4)]], np.int64))
-        order, first = _groups(w)
-        w, left = w[order[first]], np.diff(np.append(first, len(order)))
-        total = np.add.reduceat(c[order], first)
-        rows = [(k, _pack(w[b:e], left[b:e], total[b:e])) for k, b, e in _slices((w >> shift).astype(np.int64), n)]
-        yield pd.DataFrame(rows, columns=["shard", "blob"])
+    def level(k: int):
+        """The task that keeps the k-grams of a shard and sends on what the next lower order needs: rows to the left, and counts."""
+
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            came = _received(parts, k, 1 if k == order else 2)
+            if came is None:
+                return
+            shard, vocabulary, columns, values = came
+            columns, values, _ = _summed(columns, values, len(vocabulary))
+            c, total = values[0], values[-1]
+            if k < order:
+                c = np.where(vocabulary[columns[0]] == START, total, c)
+            context = context_keys([vocabulary[x] for x in columns[:-1]])
+            keys = gram_keys(context, vocabulary[columns[-1]], shift)
+            by = np.argsort(keys)
+            _save(folder, f"gram-{k}-{shard}", keys[by])
+            _save(folder, f"gram-count-{k}-{shard}", _small(c[by]))
+            _save(folder, f"gram-stats-{k}-{shard}", np.array([(c == x).sum() for x in (1, 2, 3, 4)], np.int64))
+            first = _firsts(context)
+            by = np.argsort(context[first])
+            _save(folder, f"context-{k}-{shard}", context[first][by])
+            _save(folder, f"context-total-{k}-{shard}", _small(np.add.reduceat(c, first)[by]))
+            kinds = np.stack([np.add.reduceat(x.astype(np.int64), first)[by] for x in (c == 1, c == 2, c > 2)], axis=1)
+            _save(folder, f"context-kinds-{k}-{shard}", _small(kinds))
+            del context, keys, by, kinds
+            lower, (total,), left = _summed(columns[1:], [total], len(vocabulary))
+            yield _sent(vocabulary, lower, [left, total], shift, n)
+
+        return run
 
     def words(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, shard = [], None
-        for part in parts:
-            for k, blob in zip(part["shard"], part["blob"]):
-                shard = int(k)
-                found.append([x.astype(np.uint64) for x in _unpack(blob, 3)])
-        if shard is None:
+        came = _received(parts, 1, 2)
+        if came is None:
             return
-        w, left, total = (np.concatenate(x) for x in zip(*found))
-        order, first = _groups(w)
-        left, total = np.add.reduceat(left[order], first), np.add.reduceat(total[order], first)
-        _save(folder, f"word-{shard}", w[order[first]])
+        shard, vocabulary, columns, values = came
+        (w,), (left, total), _ = _summed(columns, values, len(vocabulary))
+        _save(folder, f"word-{shard}", vocabulary[w])
         _save(folder, f"word-counts-{shard}", np.stack([total, left], axis=1).astype(np.int64))
         ones = [int((left == k).sum()) for k in (1, 2, 3, 4)]
         yield pd.DataFrame([[len(left), int(total.sum()), int(left.sum()), *ones]], columns=["v", "n", "left", "m1", "m2", "m3", "m4"])
 
     blob = "shard int, blob binary"
-    sent = shared.whole_text(docs).mapInPandas(count, blob).repartitionById(n, F.col("shard")).mapInPandas(bigrams, blob)
+    sent = texts.mapInPandas(count, blob)
+    for k in range(order, 1, -1):
+        sent = sent.repartitionById(n, F.col("shard")).mapInPandas(level(k), blob)
     made = sent.repartitionById(n, F.col("shard")).mapInPandas(words, "v long, n long, left long, m1 long, m2 long, m3 long, m4 long")
     row = made.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in made.columns]).first()
-    stats = [np.load(f"{folder}/pair-stats-{k}.npy") for k in range(n) if os.path.exists(f"{folder}/pair-stats-{k}.npy")]
-    pair = np.sum(stats, axis=0) if stats else np.zeros(5)
+    cuts = {1: discounts(row["m1"], row["m2"], row["m3"], row["m4"])}
+    for k in range(2, order + 1):
+        files = (f"{folder}/gram-stats-{k}-{shard}.npy" for shard in range(n))
+        cuts[k] = discounts(*np.sum([np.zeros(4), *(np.load(f) for f in files if os.path.exists(f))], axis=0))
+    # what the words' discounts leave to the uniform distribution
+    taken = np.array([row["m1"], row["m2"], row["v"] - row["m1"] - row["m2"]]) @ np.array(cuts[1])
     return {
-        "folder": folder, "shards": n, "shift": int(shift), "v": row["v"], "n": row["n"], "left": row["left"],
-        "pair_discounts": discounts(*pair[1:]), "word_discounts": discounts(row["m1"], row["m2"], row["m3"], row["m4"]),
+        "folder": folder, "order": order, "shards": n, "shift": int(shift), "v": row["v"], "n": row["n"], "left": row["left"],
+        "low_mass": float(taken) / row["left"] if row["left"] else 1.0, "discounts": cuts,
     }
 
 
@@ -219,63 +323,63 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float,
 
 
 class Model:
-    """The memory-mapped arrays of a trained model."""
+    """The arrays of a trained model; those of a shard are memory-mapped while it is searched."""
 
     def __init__(self, told: dict):
         self.__dict__.update(told)
-        load = lambda name: [self._map(f"{name}-{k}") for k in range(self.shards)]
-        self.pair, self.pair_count = load("pair"), load("pair-count")
-        self.context, self.context_counts = load("context"), load("context-counts")
-        self.word, self.word_counts = load("word"), load("word-counts")
 
     def _map(self, name: str) -> np.ndarray | None:
         path = f"{self.folder}/{name}.npy"
         return np.load(path, mmap_mode="r") if os.path.exists(path) else None
 
-    def _find(self, shard: np.ndarray, keys: np.ndarray, at: list, values: list, width: int) -> np.ndarray:
-        """The values of the keys (sorted by shard), zero where a key is not known."""
-        out = np.zeros((len(keys), width), np.int64)
-        for k, b, e in _slices(shard, self.shards):
-            if at[k] is not None:
-                pos = np.minimum(np.searchsorted(at[k], keys[b:e]), len(at[k]) - 1)
-                hit = np.flatnonzero(at[k][pos] == keys[b:e])
-                out[b + hit] = values[k][pos[hit]].reshape(-1, width)
-        return out
+    def _find(self, keys: np.ndarray, name: str, *values: str) -> list[np.ndarray]:
+        """The values of sorted keys, zero where a key is not known."""
+        outs: list = [None] * len(values)
+        for k, b, e in _slices(keys >> np.uint64(self.shift), self.shards):
+            at = self._map(f"{name}-{k}")
+            if at is None:
+                continue
+            pos = np.minimum(np.searchsorted(at, keys[b:e]), len(at) - 1)
+            hit = np.flatnonzero(at[pos] == keys[b:e])
+            for j, value in enumerate(values):
+                of = self._map(f"{value}-{k}")
+                if outs[j] is None:
+                    outs[j] = np.zeros((len(keys), *of.shape[1:]), np.int64)
+                outs[j][b + hit] = of[pos[hit]]
+        return outs
 
     def score(self, tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: log10 probability, base score, known tokens."""
-        u, w = contexts(tokens)
-        shift = np.uint64(self.shift)
+        begins = _begins(tokens)
+        columns = windows(np.concatenate(tokens), begins, self.order, START)
+        w = columns[-1]
         known, back = np.unique(w, return_inverse=True)
-        of_word = self._find((known >> shift).astype(np.int64), known, self.word, self.word_counts, 2)
+        (of_word,) = self._find(known, "word", "word-counts")
+        of_word = np.zeros((len(known), 2), np.int64) if of_word is None else of_word
         base = np.log10((of_word[:, 0] + 0.5) / (self.n + 0.5 * (self.v + 1)))
-        low = _interpolated(of_word[:, 1], self.left, self.word_discounts, 1 / (self.v + 1), self._low_mass())
-        heads, of_head = np.unique(u, return_inverse=True)
-        counts = self._find((heads >> shift).astype(np.int64), heads, self.context, self.context_counts, 4)
-        keys = pair_keys(u, w)
-        order = np.lexsort((keys, (u >> shift).astype(np.uint16 if self.shards <= 1 << 16 else np.uint32)))
-        c = np.zeros(len(u), np.int64)
-        c[order] = self._find((u[order] >> shift).astype(np.int64), keys[order], self.pair, self.pair_count, 1)[:, 0]
-        total = counts[:, 0]
-        mass = np.where(total > 0, (counts[:, 1:] @ np.array(self.pair_discounts)) / np.maximum(total, 1), 1.0)
-        p = _interpolated(c, total[of_head], self.pair_discounts, low[back], mass[of_head])
-        begins = np.cumsum([0, *[len(t) for t in tokens[:-1]]])
+        p = _interpolated(of_word[:, 1], self.left, self.discounts[1], 1 / (self.v + 1), self.low_mass)[back]
+        for k in range(2, self.order + 1):
+            context = context_keys(columns[self.order - k : -1])
+            order, first = _groups(context)
+            total, kinds = self._find(context[order[first]], f"context-{k}", f"context-total-{k}", f"context-kinds-{k}")
+            if total is None:
+                continue
+            mass = np.where(total > 0, (kinds @ np.array(self.discounts[k])) / np.maximum(total, 1), 1.0)
+            runs = np.diff(np.append(first, len(order)))
+            # only n-grams whose context is known can be
+            seen = order[np.repeat(total > 0, runs)]
+            keys = gram_keys(context[seen], w[seen], np.uint64(self.shift))
+            by = np.argsort(keys)
+            c = np.zeros(len(w), np.int64)
+            (counts,) = self._find(keys[by], f"gram-{k}", f"gram-count-{k}")
+            if counts is not None:
+                c[seen[by]] = counts
+            of = np.empty(len(w), np.int64)
+            of[order] = np.repeat(np.arange(len(first)), runs)
+            p = _interpolated(c, total[of], self.discounts[k], p, mass[of])
         add = lambda x: np.add.reduceat(x, begins)
         return add(np.log10(p)), add(base[back]), add((of_word[:, 0] > 0)[back].astype(np.int64))
 
-    def _low_mass(self) -> float:
-        """What the words' discounts leave to the uniform distribution."""
-        if not self.left:
-            return 1.0
-        if not hasattr(self, "_left_over"):
-            taken = 0.0
-            for counts in self.word_counts:
-                if counts is not None:
-                    x = np.bincount(np.minimum(counts[:, 1], 3), minlength=4)
-                    taken += float(x[1:] @ np.array(self.word_discounts))
-            self._left_over = taken / self.left
-        return self._left_over
-
 
 def _interpolated(c: np.ndarray, total, discount: tuple, lower, mass) -> np.ndarray:
     taken = np.array((0.0, *discount))[np.minimum(c, 3)]

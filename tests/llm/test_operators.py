@@ -581,43 +581,54 @@ def test_windows_of_long_items_are_found():
 # ------------------------------------------------------------------ op 8
 
 
-def test_kneser_ney_equals_brute_force(spark):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_equals_brute_force(spark, order):
     rng = random.Random(12)
     rows = [(k, " ".join(rng.choices(["a", "B", "c", "dd", "e", "ff"], [9, 5, 3, 2, 1, 1], k=rng.randint(0, 25)))) for k in range(60)] + [(70, None), (71, ""), (71, "")]
-    model = kneser_ney.train(docs_of(spark, rows), shards=4)
-    pairs, total, cont, count = {}, {}, {}, {}
+    model = kneser_ney.train(docs_of(spark, rows), shards=4, order=order)
+    words = lambda t: [*(t or "").lower().split(), "</s>"]
+    grams = lambda t: [tuple((["<s>"] * (order - 1) + words(t))[at : at + order]) for at in range(len(words(t)))]
+    raw: dict = {}
     for _, t in rows:
-        w = [*(t or "").lower().split(), "</s>"]
-        for u, x in zip(["<s>", *w], w):
-            pairs[u, x] = pairs.get((u, x), 0) + 1
-            total[u] = total.get(u, 0) + 1
-            count[x] = count.get(x, 0) + 1
-    for u, x in pairs:
-        cont[x] = cont.get(x, 0) + 1
-    of = lambda values: kneser_ney.discounts(*[sum(v == k for v in values) for k in (1, 2, 3, 4)])
-    d2, d1 = of(list(pairs.values())), of(list(cont.values()))
-    cut = lambda d, c: (0, *d)[min(c, 3)]
-    v, n, left = len(count), sum(count.values()), len(pairs)
-    low = lambda x: (max(cont.get(x, 0) - cut(d1, cont.get(x, 0)), 0) + sum(cut(d1, c) for c in cont.values()) / (v + 1)) / left
-
-    def p(u, x):
-        if u not in total:
-            return low(x)
-        mass = sum(cut(d2, c) for (a, _), c in pairs.items() if a == u)
-        c = pairs.get((u, x), 0)
-        return (max(c - cut(d2, c), 0) + mass * low(x)) / total[u]
-
-    for u in ("<s>", "a", "dd", "never"):
-        assert abs(sum(p(u, x) for x in [*count, "unknown"]) - 1) < 1e-9
+        for g in grams(t):
+            for k in range(order):
+                raw[g[k:]] = raw.get(g[k:], 0) + 1
+    value = {}
+    for g, c in raw.items():
+        lefts = sum(h[1:] == g for h in raw if len(h) == len(g) + 1)
+        value[g] = c if len(g) == order or g[0] == "<s>" else lefts
+    level = lambda k: [c for g, c in value.items() if len(g) == k]
+    d = {k: kneser_ney.discounts(*[sum(v == x for v in level(k)) for x in (1, 2, 3, 4)]) for k in range(1, order + 1)}
+    cut = lambda k, c: (0, *d[k])[min(c, 3)]
+    count = {g[0]: c for g, c in raw.items() if len(g) == 1}
+    v, n = len(count), sum(count.values())
+
+    def p(g):
+        lower = p(g[1:]) if len(g) > 1 else 1 / (v + 1)
+        beside = [c for h, c in value.items() if len(h) == len(g) and h[:-1] == g[:-1]]
+        if not beside:
+            return lower
+        c = value.get(g, 0)
+        return (max(c - cut(len(g), c), 0) + sum(cut(len(g), x) for x in beside) * lower) / sum(beside)
+
+    for context in ("<s>", "a", "dd", "never"):
+        assert abs(sum(p((*["<s>"] * (order - 2), context, x)) for x in [*count, "unknown"]) - 1) < 1e-9
     new = [*rows, (80, "a b never dd dd zz zz a"), (None, "c")]
     got = kneser_ney.score(docs_of(spark, new), model).collect()
     assert len(got) == len(new) and model["n"] == n and model["v"] == v
     texts = {i: t for i, t in new}
     for r in got:
-        w = [*(texts[r["doc_id"]] or "").lower().split(), "</s>"]
-        assert r["n_tokens"] == len(w) and r["n_known"] == sum(x in count for x in w)
-        assert abs(r["score"] - sum(np.log10(p(u, x)) for u, x in zip(["<s>", *w], w))) < 1e-8
-        assert abs(r["base_score"] - sum(np.log10((count.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w)) < 1e-8
+        t = texts[r["doc_id"]]
+        assert r["n_tokens"] == len(words(t)) and r["n_known"] == sum(x in count for x in words(t))
+        assert abs(r["score"] - sum(np.log10(p(g)) for g in grams(t))) < 1e-8
+        assert abs(r["base_score"] - sum(np.log10((count.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in words(t))) < 1e-8
+
+
+def test_kneser_ney_packs_every_width():
+    for top in (0, 255, 256, 65535, 65536, (1 << 24) - 1, 1 << 24, 1 << 40):
+        x = np.array([0, top, top // 2], np.int64)
+        (got, again), at = kneser_ney._unpack(b"." * 8 + kneser_ney._pack(x, x[::-1]), 2, 8)
+        assert got.tolist() == x.tolist() and again.tolist() == x[::-1].tolist()
 
 
 def test_kneser_ney_of_nothing(spark):
