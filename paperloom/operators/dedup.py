@@ -64,14 +64,26 @@ def pending(documents: DataFrame, limit: int | None = None) -> DataFrame:
     return rows if limit is None else rows.limit(limit)
 
 
+#: Pieces of a scope's range of order values, each summed on its own.
+PIECES = 64
+
+
 def admitted(calls: DataFrame, budget: int, order: str, scope: str) -> DataFrame:
     """Which of a scope's calls a token budget admits, in order, as one worker would.
 
     reserve and actual are the tokens that a call asks for and then uses. The
-    first denial stops the scope. One running sum per scope (a run).
+    first denial stops the scope. order is a number, unique in its scope, and
+    neither is null. A scope's range of order values is cut into PIECES that are
+    summed first, so that running sums are per piece, however large the scope.
     """
-    before = Window.partitionBy(scope).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy(scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    used = calls.withColumn("used_before", F.coalesce(F.sum("actual").over(before), F.lit(0)))
-    fits = used.withColumn("fits", F.col("used_before") + F.col("reserve") <= budget)
-    return fits.withColumn("admitted", F.min("fits").over(so_far)).drop("fits")
+    ranges = calls.groupBy(scope).agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
+    piece = F.floor((F.col(order) - F.col("_low")) * PIECES / (F.col("_high") - F.col("_low") + 1)).alias("_piece")
+    cut = calls.join(ranges, scope).select(*calls.columns, piece)
+    totals = cut.groupBy(scope, "_piece").agg(F.sum("actual").alias("_sum"))
+    earlier = Window.partitionBy(scope).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    start = totals.select(scope, "_piece", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    before = Window.partitionBy(scope, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    used = cut.join(start, [scope, "_piece"]).withColumn("used_before", F.col("_start") + F.coalesce(F.sum("actual").over(before), F.lit(0)))
+    denied = used.where(F.col("used_before") + F.col("reserve") > budget).groupBy(scope).agg(F.min(order).alias("_denied"))
+    out = used.join(denied, scope, "left")
+    return out.select(*calls.columns, "used_before", F.coalesce(F.col(order) < F.col("_denied"), F.lit(True)).alias("admitted"))

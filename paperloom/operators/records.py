@@ -34,6 +34,28 @@ JSON_ATTEMPTS = 2
 PER_WORKER = 4
 
 
+def states(files: DataFrame, calls: DataFrame) -> DataFrame:
+    """(id, representative_path, status, quarantine_reason, invalid, raw) of every document.
+
+    The reason is that of its smallest path, else that of answers that stayed invalid; raw is the latest good answer.
+    """
+    first = files.groupBy(F.col("fingerprint").alias("id")).agg(F.min("path").alias("representative_path"), F.min_by("reason", "path").alias("reason"))
+    good = F.col("status") == "ok"
+    asked = calls.groupBy(F.col("document_id").alias("id")).agg(
+        F.count_if(good).alias("ok"), F.count_if(F.col("status") == "invalid_json").alias("invalid"),
+        F.max(F.when(good, F.struct("run_id", "batch", "raw"))).alias("answer"),
+    )
+    rows = first.join(asked, "id", "left")
+    status = F.when(F.col("reason").isNotNull(), "quarantined").when(F.col("ok") > 0, "done").when(F.col("invalid") >= JSON_ATTEMPTS, "quarantined").otherwise("pending")
+    reason = F.coalesce("reason", F.when(status == "quarantined", "llm_invalid_output"))
+    return rows.select("id", "representative_path", status.alias("status"), reason.alias("quarantine_reason"), F.coalesce("invalid", F.lit(0)).alias("invalid"), F.col("answer.raw").alias("raw"))
+
+
+def first_texts(scans: DataFrame) -> DataFrame:
+    """(id, text): of each fingerprint, the text of the smallest path that has one."""
+    return scans.where("text is not null").groupBy(F.col("fingerprint").alias("id")).agg(F.min_by("text", "path").alias("text"))
+
+
 class Records:
     """The tables under a folder."""
 
@@ -59,20 +81,10 @@ class Records:
 
     def documents(self, with_text: bool = False) -> DataFrame:
         """Documents with status, derived from the scans and the journal."""
-        first = self.files().groupBy(F.col("fingerprint").alias("id")).agg(F.min("path").alias("representative_path"), F.min_by("reason", "path").alias("reason"))
-        good = F.col("status") == "ok"
-        calls = self.table("calls").groupBy(F.col("document_id").alias("id")).agg(
-            F.count_if(good).alias("ok"), F.count_if(F.col("status") == "invalid_json").alias("invalid"),
-            F.max(F.when(good, F.struct("run_id", "batch", "raw"))).alias("answer"),
-        )
-        rows = first.join(calls, "id", "left")
-        status = F.when(F.col("reason").isNotNull(), "quarantined").when(F.col("ok") > 0, "done").when(F.col("invalid") >= JSON_ATTEMPTS, "quarantined").otherwise("pending")
-        reason = F.coalesce("reason", F.when(status == "quarantined", "llm_invalid_output"))
-        rows = rows.select("id", "representative_path", status.alias("status"), reason.alias("quarantine_reason"), F.coalesce("invalid", F.lit(0)).alias("invalid"), F.col("answer.raw").alias("raw"))
+        rows = states(self.files(), self.table("calls"))
         if not with_text:
             return rows
-        texts = self.table("scans").where("text is not null").groupBy(F.col("fingerprint").alias("id")).agg(F.min_by("text", "path").alias("text"))
-        return rows.join(texts, "id", "left")
+        return rows.join(first_texts(self.table("scans")), "id", "left")
 
     def results(self) -> DataFrame:
         """The typed fields of finished documents."""

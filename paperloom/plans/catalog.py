@@ -83,6 +83,54 @@ def two_stage_dedup(spark, sf_dir):
     return found.select("path", "fingerprint", "representative_path", "status")
 
 
+@query(
+    f"""with {FILES_SQL}, marked as (select path, case when size_bytes % 5 = 0 then raw_sha256 else fingerprint end as fingerprint from hashed)
+select path, fingerprint, min(path) over (partition by fingerprint) as representative_path from marked"""
+)
+def unreadable_files(spark, sf_dir):
+    """A fifth of the files without text: their bytes alone say which are equal."""
+    found = files(spark, sf_dir).withColumn("text", F.when(F.col("size_bytes") % 5 != 0, F.col("text")))
+    return dedup.assigned(dedup.with_fingerprints(found)).select("path", "fingerprint", "representative_path")
+
+
+@query(f"with {FILES_SQL} select fingerprint as id, raw_sha256 as text_sha256 from hashed qualify row_number() over (partition by fingerprint order by path) = 1")
+def first_text(spark, sf_dir):
+    from paperloom.operators import records
+
+    found = files(spark, sf_dir).withColumn("fingerprint", T.fingerprint(F.col("text")))
+    return records.first_texts(found).select("id", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query(
+    f"""with {FILES_SQL}, first as (
+  select fingerprint as id, path as representative_path, case size_bytes % 9 when 0 then 'corrupt_file' when 1 then 'encrypted' end as reason,
+         instr('0123456789abcdef', left(fingerprint, 1)) - 1 as k from hashed qualify row_number() over (partition by fingerprint order by path) = 1)
+select id, representative_path, case when reason is not null then 'quarantined' when k < 6 or k between 9 and 11 then 'done' when k < 9 then 'quarantined' else 'pending' end as status,
+  coalesce(reason, case when k between 6 and 8 then 'llm_invalid_output' end) as quarantine_reason,
+  (case when k between 6 and 8 then 2 when k between 9 and 13 then 1 else 0 end)::bigint as invalid,
+  case when k < 6 then 'answer 0' when k between 9 and 11 then 'answer 1' end as raw from first"""
+)
+def document_states(spark, sf_dir):
+    """Status and first reason of every document, from files with reasons and a journal of good, invalid and failed answers."""
+    from paperloom.operators import records
+
+    found = dedup.with_fingerprints(files(spark, sf_dir))
+    found = found.withColumn("reason", F.when(F.col("size_bytes") % 9 == 0, "corrupt_file").when(F.col("size_bytes") % 9 == 1, "encrypted"))
+    k = F.instr(F.lit("0123456789abcdef"), F.left("document_id", F.lit(1))) - 1
+    several = lambda *names: F.array(*map(F.lit, names))
+    made = F.when(k < 6, several("ok")).when(k < 9, several("invalid_json", "invalid_json")).when(k < 12, several("invalid_json", "ok"))
+    made = made.when(k < 14, several("invalid_json")).otherwise(several("timeout", "refused"))
+    calls = found.select(F.col("fingerprint").alias("document_id")).distinct().select("document_id", F.posexplode(made).alias("batch", "status"))
+    calls = calls.withColumns({"run_id": F.lit(1), "raw": F.concat(F.lit("answer "), F.col("batch").cast("string"))})
+    return records.states(found, calls)
+
+
+@query("select doc_id, sha256(strip_accents(coalesce(text, ''))) as bare_sha256 from documents")
+def strip_marks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.sha2(T.without_marks(F.coalesce("text", F.lit(""))), 256).alias("bare_sha256"))
+
+
 @query(f"with {FILES_SQL} select count(*) as input_files, count(*) - count(distinct fingerprint) as duplicate_files, count(distinct fingerprint) as unique_documents from hashed")
 def dedup_report(spark, sf_dir):
     found = dedup.assigned(dedup.with_fingerprints(files(spark, sf_dir)))
