@@ -1,11 +1,12 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field for the forms they miss.
 
-The field labels white-space tokens by their shapes and those of their
-neighbours. It is trained on a small table that TEMPLATES and a fixed seed
-render, and decoded by Viterbi in numpy batches. Tokens without a digit or one
-of @ + ( [ are outside by definition, so a line falls into short runs between
-such tokens, which are decoded exactly on their own; runs of equal length
-advance together.
+The field labels every white-space token of a line by its shape and word, and
+those of its neighbours. It is trained on a small table that TEMPLATES and a
+fixed seed render, and decoded by Viterbi in numpy batches. Only tokens that can
+be part of a best labelling go through Viterbi: where the best stretch around a
+token that could be personal data scores less than the same stretch left out,
+whatever stands beside it, the token is outside in every best labelling. What
+remains are runs that advance together.
 
 Spans are code points, end exclusive. A span of the field is dropped where it
 meets a pattern's span. Defined results: a null text is empty and has no spans;
@@ -106,8 +107,10 @@ TEMPLATES = (
     "token = \"{h4}{h4}{h4}{h4}{h4}{h4}{h4}{h4}{h4}{h4}\"", "password={h4}{h4}{h4}{h4}{h2}", "key AKIA{A4}{A4}{A4}{A4} of", "chapter {d2} page {d3}",
     "(see {d2})", "[{d1}] {w}", "{w} ({y}) {w}", "C++ and +{d1} more", "#{d4} {w}", "{d2}%%% {w}", "@{w} said", "{d4} items", "id {d4}{d4} of {d4}", "{w} @ {d2} each",
     "{w}{d2} x{d1}", "room {d3}-{d2}", "about {d2}/{d2}/{y} it", "({w})", "[{w}]", "10.{d1} and 4.0.", "{d3} {d3} {d2}", "{d4}-{d4}", "{d1}.{d1}.{d2} build", "({d1}) {w} ({d1})",
+    "mail <<email|{w} at {w} dot com>> for", "{w} <<email|{w} at {w} dot org>>, {w}", "write to <<email|{w} dot {w} at {w} dot net>> soon", "{w} <<email|{w} at {w} dot {w} dot com>> {w}",
+    "{w} {w} {w} {w} {w}", "{w} at {w} and {w}", "the {w} at the {w}", "{w} dot {w}", "at {w}, dot", "{w} to {w} for {w}", "now {w} or {w}", "the {w} com {w}", "{w} is on {w}",
 )
-COPIES, EPOCHS, RATE, DECAY = 12, 120, 0.1, 1e-3
+COPIES, EPOCHS, RATE, DECAY = 12, 120, 0.1, 1e-4
 
 
 def training_table(seed: int = 7) -> list[tuple[list[str], list[int]]]:
@@ -148,8 +151,12 @@ _RUNS = re.compile(r"(a+|A+|9+)")
 _OPEN = frozenset("0123456789@+([")
 
 
+#: The neighbours at the ends of a line.
+FIRST, LAST = "<s>", "</s>"
+
+
 def open_token(word: str) -> bool:
-    """Whether a token may be part of personal data."""
+    """Whether a token is told by its shape, not by its word, to its neighbours."""
     return not _OPEN.isdisjoint(word)
 
 
@@ -161,16 +168,31 @@ def shape(word: str) -> str:
     return _RUNS.sub(lambda m: m[0][0] + (str(min(len(m[0]), 5)) if m[0][0] == "9" else ""), flat)
 
 
-def observations(words: list[str], k: int) -> tuple[str, ...]:
-    """The features of a token: its own shape, form and neighbours' shapes."""
-    word, s = words[k], shape(words[k])
-    before = words[k - 1] if k else "<s>"
-    after = words[k + 1] if k + 1 < len(words) else "</s>"
-    sb = shape(before) if open_token(before) else before.lower().strip(".,:;")[:12]
-    sa = shape(after) if open_token(after) else "w"
+def _plain(word: str) -> str:
+    return word.lower().strip(".,:;")[:12]
+
+
+def own_features(word: str) -> tuple[str, ...]:
+    s = shape(word)
     n = sum(c.isdigit() for c in word)
     marks = "".join(sorted({c for c in s if not c.isalnum()}))
-    return ("s=" + s, "b=" + (sb if open_token(before) else "w"), "a=" + sa, f"n={min(n, 20)}", "m=" + marks, f"sb={s}|{sb}", f"sa={s}|{sa}", f"l={min(len(word), 45) // 5}")
+    return "s=" + s, f"n={min(n, 20)}", "m=" + marks, f"l={min(len(word), 45) // 5}", "w=" + ("" if open_token(word) else _plain(word))
+
+
+def beside(word: str) -> tuple[str, str]:
+    """What a token's neighbour tells of it: the kind of neighbour, and its shape or word."""
+    return (shape(word),) * 2 if open_token(word) else ("w", _plain(word))
+
+
+def paired(s: str, before: tuple[str, str], after: tuple[str, str]) -> tuple[str, ...]:
+    return "b=" + before[0], "a=" + after[0], f"sb={s}|{before[1]}", f"sa={s}|{after[1]}"
+
+
+def observations(words: list[str], k: int) -> tuple[str, ...]:
+    """The features of a token: its own shape, form and word, and its neighbours'."""
+    before = beside(words[k - 1] if k else FIRST)
+    after = beside(words[k + 1] if k + 1 < len(words) else LAST)
+    return own_features(words[k]) + paired(shape(words[k]), before, after)
 
 
 class Field:
@@ -180,28 +202,39 @@ class Field:
         self.names, self.weights, self.steps = names, weights, steps
 
     def decode(self, runs: list[list[tuple[str, ...]]]) -> list[list[int]]:
-        """The best labels of each run; runs of one length are decoded together."""
-        out: list = [None] * len(runs)
-        groups = defaultdict(list)
-        for k, run in enumerate(runs):
-            groups[len(run)].append(k)
+        """The best labels of each run."""
         known = self.names.get
-        for length, members in groups.items():
-            index = np.array([[[known(x, 0) for x in token] for token in runs[k]] for k in members])
-            emit = self.weights[index].sum(axis=2)
-            best, back = emit[:, 0] + self.steps[0], []
-            for t in range(1, length):
-                options = best[:, :, None] + self.steps[None]
-                back.append(options.argmax(axis=1))
-                best = options.max(axis=1) + emit[:, t]
-            last = (best + self.steps[:, 0]).argmax(axis=1)
-            path = [last]
-            for step in reversed(back):
-                last = step[np.arange(len(members)), last]
-                path.append(last)
-            for k, labels in zip(members, np.stack(path[::-1], axis=1).tolist()):
-                out[k] = labels
-        return out
+        rows = np.array([self.weights[[known(x, 0) for x in token]].sum(axis=0) for run in runs for token in run]).reshape(-1, LABELS)
+        length = np.array([len(run) for run in runs], np.int64)
+        begin, order, out = np.cumsum(length) - length, np.argsort(-length, kind="stable"), np.zeros(len(rows), np.int8)
+        self.best_of_runs(rows, np.arange(len(rows)), begin[order], length[order], out)
+        return [x.tolist() for x in np.split(out, np.cumsum(length)[:-1])]
+
+    def best_of_runs(self, rows: np.ndarray, row: np.ndarray, begin: np.ndarray, length: np.ndarray, out: np.ndarray) -> None:
+        """Viterbi over runs of any lengths, the longest first, that begin at places of row; labels go to out."""
+        if not len(begin):
+            return
+        active = np.searchsorted(-length, -np.arange(length[0]), side="left")
+        best, back = rows[row[begin]] + self.steps[0], []
+        for t in range(1, length[0]):
+            m = active[t]
+            options = best[:m, :, None] + self.steps
+            back.append(options.argmax(axis=1).astype(np.int8))
+            best[:m] = options.max(axis=1) + rows[row[begin[:m] + t]]
+        label = (best + self.steps[:, 0]).argmax(axis=1)
+        for t in range(length[0] - 1, -1, -1):
+            m = active[t]
+            out[begin[:m] + t] = label[:m]
+            if t:
+                label[:m] = back[t - 1][np.arange(m), label[:m]]
+
+    def margins(self) -> tuple[float, float]:
+        """What steps can add, against steps between outside labels, to each token of a span, and once at its ends."""
+        starts = [0, *range(1, LABELS, 2)]
+        inside = max(self.steps[a, b] for b in range(2, LABELS, 2) for a in (b - 1, b)) - self.steps[0, 0]
+        enter = (self.steps[:, starts[1:]] - self.steps[:, :1]).max()
+        leave = (self.steps[1:][:, starts] - self.steps[0, starts]).max()
+        return float(max(inside, 0.0)), float(max(enter + leave, enter + leave - inside))
 
 
 def _allowed() -> np.ndarray:
@@ -213,27 +246,12 @@ def _allowed() -> np.ndarray:
     return steps
 
 
-def runs_of(words: list[str]) -> list[tuple[int, int]]:
-    """The maximal runs of tokens that may be personal data."""
-    out, begin = [], None
-    for k, word in enumerate(words):
-        if open_token(word):
-            begin = k if begin is None else begin
-        elif begin is not None:
-            out.append((begin, k))
-            begin = None
-    if begin is not None:
-        out.append((begin, len(words)))
-    return out
-
-
 @lru_cache(maxsize=1)
 def trained() -> Field:
     """Maximum likelihood with weight decay, by full-batch Adam; deterministic, on the driver, in seconds."""
     samples = []
     for words, labels in training_table():
-        for b, e in runs_of(words):
-            samples.append(([observations(words, k) for k in range(b, e)], labels[b:e]))
+        samples.append(([observations(words, k) for k in range(len(words))], labels))
     names: dict[str, int] = {}
     counts: dict[str, int] = defaultdict(int)
     for tokens, _ in samples:
@@ -298,86 +316,152 @@ def _gradient(weights: np.ndarray, steps: np.ndarray, index: np.ndarray, y: np.n
     out[1][:, 0] += last
 
 
-_WORD = re.compile(r"\S+")
-_CANDIDATE = re.compile(r"[0-9@+(\[]")
+_LINE, _WORD = re.compile(r"[^\n]+"), re.compile(r"\S+")
+_AT, _SPELLED = re.compile(r"@|[(\[]at[)\]]", re.IGNORECASE), re.compile(r"\w+(?:\s+dot\s+\w+)*\s+at\s+\w+(?:\s+dot\s+\w+)+", re.IGNORECASE)
+_COLONS = re.compile(r"[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}")
+#: Tokens that are labelled together, and words whose features are remembered.
+PIECE, REMEMBERED = 1 << 18, 1 << 18
 
 
-def _runs_in(text: str) -> list[tuple[list[str], list[int], int, int]]:
-    """(words, starts, first, end) of each run of open tokens, with one neighbour on each side where there is one.
+def fits(found: str, kind: int) -> bool:
+    """Whether what the field found can be of its kind.
 
-    Neighbours are looked up within the line; a token is never cut.
+    A card number passes Luhn's check, a phone number has 7 to 15 digits, a mail
+    address has a sign for @ or is spelled out with at and dot, an IP address has digits or groups between colons.
     """
-    out, at, size = [], 0, len(text)
-    while m := _CANDIDATE.search(text, at):
-        begin = m.start()
-        while begin and not text[begin - 1].isspace():
-            begin -= 1
-        words, starts, pos = [], [], begin
-        while pos < size:
-            w = _WORD.match(text, pos)
-            if not w or not open_token(w[0]):
-                break
-            words.append(w[0])
-            starts.append(pos)
-            pos = w.end()
-            while pos < size and text[pos] in " \t\r\x0b\x0c":
-                pos += 1
-        at = pos
-        first = 0
-        before = begin
-        while before and text[before - 1] in " \t\r\x0b\x0c":
-            before -= 1
-        if before and not text[before - 1].isspace():
-            b = before
-            while b and not text[b - 1].isspace():
-                b -= 1
-            words.insert(0, text[b:before])
-            starts.insert(0, b)
-            first = 1
-        end = len(words)
-        if (w := _WORD.match(text, pos)) is not None:
-            words.append(w[0])
-            starts.append(pos)
-        out.append((words, starts, first, end))
-        at = max(at, begin + 1)
-    return out
-
-
-def fits(found: str, kind: int) -> bool:
-    """Whether what the field found can be of its kind: a card number passes Luhn's check, a phone number has 7 to 15 digits."""
     digits = "".join(c for c in found if "0" <= c <= "9")
     if KINDS[kind] == "card":
         return 12 <= len(digits) <= 19 and luhn(digits)
-    return KINDS[kind] != "phone" or 7 <= len(digits) <= 15
+    if KINDS[kind] == "phone":
+        return 7 <= len(digits) <= 15
+    return bool(_AT.search(found) or _SPELLED.fullmatch(found)) if KINDS[kind] == "email" else bool(digits) or _COLONS.fullmatch(found) is not None
+
+
+class Reader:
+    """A field with the scores of the words and neighbours met so far.
+
+    A feature that training never met weighs nothing, so words that differ only in such features share their scores.
+    """
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.per_token, self.per_span = field.margins()
+        self.shapes = {x[3:].split("|", 1)[0] for x in field.names if x[:3] in ("sb=", "sa=")}
+        self.sides = [{x.split("|", 1)[1] for x in field.names if x[:3] == name} for name in ("sb=", "sa=")]
+        self.lexicon = set().union(*self.sides, (x[2:] for x in field.names if x[:2] == "w="))
+        self.forget()
+
+    def forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.usual: dict[tuple, tuple] = {}
+        self.seen: tuple[dict, dict, dict] = ({}, {}, {})
+        self.numbers = np.zeros((0, 3), np.int64)
+        self.fresh: list[tuple[int, int, int]] = []
+        self.ends = [self.word(w) for w in (FIRST, LAST)]
+
+    def word(self, word: str) -> int:
+        """The number of a word; its own, left and right features have numbers of their own."""
+        at = self.words[word] = len(self.words)
+        core = word.rstrip(",;:.!?")
+        # most words: ASCII letters in lower case or with one capital, and none that training knows
+        if core.isascii() and core.isalpha() and (core.islower() or core.istitle()) and len(word) <= 80 and _plain(word) not in self.lexicon:
+            key = (core.islower(), len(core) > 1, min(len(word), 45) // 5)
+            if key not in self.usual:
+                self.usual[key] = self.told(word)
+            self.fresh.append(self.usual[key])
+        else:
+            self.fresh.append(self.told(word))
+        return at
+
+    def told(self, word: str) -> tuple[int, ...]:
+        known, s = self.field.names.get, shape(word)
+        side, told = beside(word)
+        of = ((s if s in self.shapes else None, tuple(known(x, 0) for x in own_features(word))), *((known(f"{c}={side}", 0), told if told in t else None) for c, t in zip("ba", self.sides)))
+        return tuple(seen.setdefault(x, len(seen)) for seen, x in zip(self.seen, of))
+
+    def scores(self, words: list[str], firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, row of each token): scores by label of the tokens of lines that begin at firsts."""
+        if len(self.words) > REMEMBERED:
+            self.forget()
+        for w in set(words).difference(self.words):
+            self.word(w)
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        if self.fresh:
+            self.numbers = np.concatenate([self.numbers, np.array(self.fresh, np.int64)])
+            self.fresh = []
+        own, left, right = self.numbers.T
+        before, after = np.empty_like(at), np.empty_like(at)
+        before[1:], after[:-1] = left[at[:-1]], right[at[1:]]
+        before[firsts], after[np.append(firsts[1:], len(at)) - 1] = left[self.ends[0]], right[self.ends[1]]
+        n_left, n_right = len(self.seen[1]), len(self.seen[2])
+        kinds, row = np.unique((own[at] * n_left + before) * n_right + after, return_inverse=True)
+        forms = [list(x) for x in self.seen]
+        known, weights, rows = self.field.names.get, self.field.weights, np.empty((len(kinds), LABELS))
+        for k, kind in enumerate(kinds.tolist()):
+            s, index = forms[0][kind // n_right // n_left]
+            (b, b_told), (a, a_told) = forms[1][kind // n_right % n_left], forms[2][kind % n_right]
+            index = [*index, b, a]
+            if s is not None:
+                index += [known(f"sb={s}|{b_told}", 0) if b_told is not None else 0, known(f"sa={s}|{a_told}", 0) if a_told is not None else 0]
+            rows[k] = weights[index].sum(axis=0)
+        return rows, row
+
+    def labels(self, words: list[str], firsts: np.ndarray) -> np.ndarray:
+        """The label of every token of lines that begin at firsts."""
+        rows, row = self.scores(words, firsts)
+        gain = (rows[:, 1:].max(axis=1) - rows[:, 0] + self.per_token)[row]
+        total = np.cumsum(gain)
+        until = total - np.minimum.accumulate(np.concatenate(([0.0], total[:-1])))
+        since = np.maximum.accumulate(total[::-1])[::-1] - total + gain
+        may = until + since - gain + self.per_span >= -1e-6
+        edge = np.zeros(len(row) + 1, bool)
+        edge[firsts] = True
+        begin = np.flatnonzero(may & (np.concatenate(([True], ~may[:-1])) | edge[:-1]))
+        end = np.flatnonzero(may & (np.concatenate((~may[1:], [True])) | edge[1:])) + 1
+        out = np.zeros(len(row), np.int8)
+        long_first = np.argsort(begin - end, kind="stable")
+        self.field.best_of_runs(rows, row, begin[long_first], (end - begin)[long_first], out)
+        return out
 
 
-def field_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]:
+def field_spans(texts: list[str], field: Field | Reader) -> list[list[tuple[int, int, int]]]:
     """(start, end, kind number) that the field finds in each text, trimmed of punctuation at the ends."""
-    owners, places, runs = [], [], []
-    for k, text in enumerate(texts):
-        for words, starts, b, e in _runs_in(text):
-            runs.append([observations(words, t) for t in range(b, e)])
-            places.append((words[b:e], starts[b:e]))
-            owners.append(k)
+    reader = field if isinstance(field, Reader) else Reader(field)
     out: list = [[] for _ in texts]
-    for k, (words, starts), labels in zip(owners, places, field.decode(runs)):
-        t = 0
-        while t < len(labels):
-            if labels[t]:
-                stop = t + 1
-                while stop < len(labels) and labels[stop] and labels[stop] % 2 == 0:
-                    stop += 1
-                b, e = starts[t], starts[stop - 1] + len(words[stop - 1])
-                while e > b and not texts[k][e - 1].isalnum():
-                    e -= 1
-                while b < e and not texts[k][b].isalnum() and texts[k][b] not in "+(":
-                    b += 1
-                if fits(texts[k][b:e], (labels[t] - 1) // 2):
-                    out[k].append((b, e, (labels[t] - 1) // 2))
-                t = stop
-            else:
-                t += 1
-    return out
+    words: list[str] = []
+    owners: list[int] = []
+    starts: list[int] = []
+    firsts: list[int] = []
+
+    def flush() -> None:
+        labels = reader.labels(words, np.array(firsts)) if words else np.zeros(0, np.int8)
+        for at in np.flatnonzero(labels % 2).tolist():
+            stop = at + 1
+            while stop < len(labels) and labels[stop] and labels[stop] % 2 == 0:
+                stop += 1
+            text, kind, b, e = texts[owners[at]], int(labels[at]) // 2, starts[at], starts[stop - 1] + len(words[stop - 1])
+            while e > b and not text[e - 1].isalnum():
+                e -= 1
+            while b < e and not text[b].isalnum() and text[b] not in "+(":
+                b += 1
+            if fits(text[b:e], kind):
+                out[owners[at]].append((b, e, kind))
+        for x in (words, owners, starts, firsts):
+            x.clear()
+
+    for k, text in enumerate(texts):
+        for line in _LINE.finditer(text):
+            n = len(words)
+            for w in _WORD.finditer(text, line.start(), line.end()):
+                words.append(w[0])
+                starts.append(w.start())
+            if len(words) > n:
+                firsts.append(n)
+                owners.extend([k] * (len(words) - n))
+            if len(words) >= PIECE:
+                flush()
+    flush()
+    return [sorted(x) for x in out]
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -390,7 +474,7 @@ def find(docs: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((field.names, field.weights, field.steps))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Field(*sent.value)
+        own = Reader(Field(*sent.value))
         for part in parts:
             rows = []
             texts = part["text"].tolist()

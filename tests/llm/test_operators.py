@@ -687,14 +687,31 @@ def test_field_decoding_equals_brute_force():
         assert abs(total(got) - max(map(total, product(range(pii.LABELS), repeat=len(run))))) < 1e-6
 
 
+def test_field_pruned_equals_whole_lines():
+    """Lines of samples, prose and noise: what the reader prunes and shares changes no label."""
+    field, rng = pii.trained(), random.Random(15)
+    prose = ["the", "Über", "now,", "mail", "at", "dot", "x1", "(ok)", "A", "12:30", "weiß.", "+1", "555-0765", "a@b", "...", "[at]", "Ünïcödé", "ⅷ"]
+    lines = [w for w, _ in pii.training_table(seed=5)[::3]] + [rng.choices(prose, k=rng.randint(1, 30)) for _ in range(300)]
+    rng.shuffle(lines)
+    firsts = np.cumsum([0, *map(len, lines)])[:-1]
+    reader = pii.Reader(field)
+    want = [y for path in field.decode([[pii.observations(w, k) for k in range(len(w))] for w in lines]) for y in path]
+    for _ in range(2):
+        assert reader.labels([w for line in lines for w in line], firsts).tolist() == want
+
+
+def test_field_reads_words_without_digits():
+    text = "mail john at example dot com now\nwe met at noon, dot by dot\nlook at the house"
+    assert [text[b:e] for ((b, e, _),) in pii.field_spans([text], pii.trained())] == ["john at example dot com"]
+    assert pii.field_spans(["", "\n\n", " "], pii.trained()) == [[], [], []]
+
+
 def test_field_is_accurate_on_new_samples_and_adds_spans(spark):
     field, right, n = pii.trained(), 0, 0
     for w, labels in pii.training_table(seed=99):
-        runs = pii.runs_of(w)
-        got = field.decode([[pii.observations(w, k) for k in range(b, e)] for b, e in runs])
-        for (b, e), path in zip(runs, got):
-            right += sum(x == y for x, y in zip(path, labels[b:e]))
-            n += e - b
+        (path,) = field.decode([[pii.observations(w, k) for k in range(len(w))]])
+        right += sum(x == y for x, y in zip(path, labels))
+        n += len(w)
     assert right / n > 0.95
     text = "Call (632) 555-4827, mail jane(at)acme.com or a.b@c.de now"
     rows = [(1, text), (2, None), (3, ""), (3, ""), (4, "plain words only, nothing else"), (None, "1.2.3.4"), (5, "x1 " * 50_000)]
