@@ -223,6 +223,28 @@ def test_line_dedup_recall_at_an_edit_similarity_of_080(spark):
     assert len(pairs) > 100 and sum(of[a] == of[b] for a, b in pairs) >= 0.9 * len(pairs)
 
 
+def test_line_blocks_hold_every_similar_pair(spark):
+    """Words changed at equal distances, words put in or left out, and lines of few words with changes all over share a block."""
+    rng, pairs = random.Random(21), []
+    for n in range(9, 70):
+        w = words(rng, n).split()
+        for first in (0, 2, 4):
+            cut = [f"new{k}" if k % 5 == first and k // 5 < n // 5 else x for k, x in enumerate(w)]
+            pairs.append((" ".join(w), " ".join(cut)))
+        pairs.append((" ".join(w), " ".join(x for k, x in enumerate(w) if k % 5 != 3 or k // 5 >= n // 5)))
+        if n <= 24:
+            wide = [f"a-very-long-word-{x}" for x in w]
+            pairs.append((" ".join(wide), " ".join(x + "s" if k % 5 in (1, 3) else x for k, x in enumerate(wide))))
+    pairs += [("the of.", "the or."), ("abcd", "abcde"), ("one two tree four", "ones two three four"), ("in the of and by", "an the of end by")]
+    pairs.append(("aaaaaaaaaaaa bbbbbbbbbbbb cccccccccccc dddddddddddd eeeeeeeeeeee ffffffffffff", "a aaaaaaaaaaaa bbbbbbbbbbbb b cccccccccccc dddddddddddd d eeeeeeeeeeee ffffffffffff"))
+    table = spark.createDataFrame([(x,) for x in {x for pair in pairs for x in pair}], "norm string").withColumn("line", F.col("norm"))
+    blocks = {r["line"]: set(r["blocks"]) for r in line_dedup.with_blocks(table).collect()}
+    for a, b in pairs:
+        n = max(a.count(" "), b.count(" ")) + 1
+        assert distance(a, b) * 5 <= max(len(a), len(b)) or n > line_dedup.SHORT and distance(a.split(" "), b.split(" ")) * 5 <= n
+        assert blocks[a] & blocks[b], (a, b)
+
+
 def test_line_dedup_keeps_clashing_columns(spark):
     frame = docs_of(spark, [(1, "a b c"), (2, "A  B c"), (3, "a\x0bb\x0cc")]).withColumn("n_lines", F.lit(9)).withColumn("gone", F.lit("g"))
     rows = {r["doc_id"]: r for r in line_dedup.shorten(frame).collect()}
