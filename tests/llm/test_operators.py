@@ -245,6 +245,25 @@ def test_line_blocks_hold_every_similar_pair(spark):
         assert blocks[a] & blocks[b], (a, b)
 
 
+def test_lines_apart_by_their_fingerprints_are_linked(spark):
+    """Lines of one block that are similar in words or in characters are in one group however many bits they differ in."""
+    rng, pairs = random.Random(31), []
+    for n in (10, 15, 20):
+        for _ in range(10):
+            w = [f"long-enough-{x}" for x in words(rng, n).split()]
+            pairs.append((" ".join(w), " ".join(x + "s" if k % 5 in (1, 3) else x for k, x in enumerate(w))))
+            pairs.append((" ".join(w[::-1]), " ".join("other" if k % 5 == 2 else x for k, x in enumerate(w[::-1]))))
+    lines = sorted({x for pair in pairs for x in pair})
+    docs = docs_of(spark, enumerate(lines))
+    table = docs.select(F.xxhash64("text").alias("k1"), F.col("text").alias("norm"))
+    prints = {r["k1"]: r["fp"] for r in line_dedup.line_simhash(table).collect()}
+    key = dict(map(tuple, docs.select("text", F.xxhash64("text")).collect()))
+    assert any(((prints[key[a]] ^ prints[key[b]]) % 2**64).bit_count() > line_dedup.FEW_RADIUS for a, b in pairs)
+    found, _ = line_dedup.fuzzy_links(docs, line_dedup.with_blocks(line_dedup._occurrences(docs)))
+    group = {r["node"]: r["component"] for r in found.collect()}
+    assert all(group.get(key[a], a) == group.get(key[b], b) for a, b in pairs)
+
+
 def test_line_dedup_keeps_clashing_columns(spark):
     frame = docs_of(spark, [(1, "a b c"), (2, "A  B c"), (3, "a\x0bb\x0cc")]).withColumn("n_lines", F.lit(9)).withColumn("gone", F.lit("g"))
     rows = {r["doc_id"]: r for r in line_dedup.shorten(frame).collect()}
