@@ -264,6 +264,39 @@ def test_lines_apart_by_their_fingerprints_are_linked(spark):
     assert all(group.get(key[a], a) == group.get(key[b], b) for a, b in pairs)
 
 
+def test_short_lines_meet_in_tiles(spark):
+    """Tiles of a few lines give the pairs of different groups that brute force over characters gives, each once."""
+    rng, lines = random.Random(41), set()
+    for n in (1, 2, 3, 5, 8):
+        for _ in range(6):
+            w = words(rng, n)
+            at = rng.randrange(len(w))
+            lines |= {w, w + "s", w[:at] + "x" + w[at + 1 :], w[:at] + w[at + 2 :]}
+    lines = sorted({" ".join(x.split()) for x in lines})
+    table = spark.createDataFrame([(x,) for x in lines], "norm string").select(F.xxhash64("norm").alias("k1"), "norm")
+    short = line_dedup.short_lines(line_dedup.described(table)).withColumn("g", F.when(F.col("norm").startswith("a"), F.lit(0)).otherwise(F.col("k1")))
+    key = {r["norm"]: r["k1"] for r in table.collect()}
+    group = {x: 0 if x.startswith("a") else key[x] for x in lines}
+    want = {tuple(sorted((key[a], key[b]))) for a, b in combinations(lines, 2) if group[a] != group[b] and distance(a, b) <= max(len(a), len(b)) // 5}
+    for tile in (3, 2_048):
+        got = [tuple(r) for r in line_dedup.short_links(short, tile).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def test_tiles_tell_lines_of_repeated_words_apart(spark):
+    """Of lines of one block that repeat a word, only those leave the tiles that have enough words in common; no text goes in."""
+    lines = [" ".join(["shared", "words"] + [f"w{k}"] * 100) for k in range(20)] + [" ".join(["shared", "words"] + ["w1"] * 90 + ["w2"] * 10)]
+    table = spark.createDataFrame([(x,) for x in lines], "norm string").select(F.xxhash64("norm").alias("k1"), "norm")
+    told = line_dedup.line_marks(table).join(line_dedup.line_counts(line_dedup.described(table)), "k1", "left")
+    rows = told.select(F.lit(1).cast("long").alias("key"), "k1", F.col("k1").alias("g"))
+    key = {r["norm"]: r["k1"] for r in table.collect()}
+    got = {tuple(r) for r in line_dedup.tiled(rows, told, 8).collect()}
+    buckets = {k: r["h"] for k, r in enumerate(spark.range(20).select((F.xxhash64(F.concat(F.lit("w"), F.col("id"))).bitwiseAND(F.lit(line_dedup.BUCKETS - 1))).alias("h")).collect())}
+    apart = {(a, b) for a, b in combinations(range(20), 2) if buckets[a] != buckets[b]}
+    assert tuple(sorted((key[lines[1]], key[lines[20]]))) in got and len(apart) > 150
+    assert not any(tuple(sorted((key[lines[a]], key[lines[b]]))) in got for a, b in apart)
+
+
 def test_line_dedup_keeps_clashing_columns(spark):
     frame = docs_of(spark, [(1, "a b c"), (2, "A  B c"), (3, "a\x0bb\x0cc")]).withColumn("n_lines", F.lit(9)).withColumn("gone", F.lit("g"))
     rows = {r["doc_id"]: r for r in line_dedup.shorten(frame).collect()}
