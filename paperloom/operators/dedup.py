@@ -21,9 +21,11 @@ def raw_groups(files: DataFrame) -> DataFrame:
 def with_fingerprints(files: DataFrame) -> DataFrame:
     """(path, size_bytes, raw_sha256, fingerprint), worked out where a file is read: normalising again costs less than a shuffle of texts.
 
-    An unreadable file (null text) takes its raw hash as fingerprint.
+    An unreadable file (null text) takes its raw hash as fingerprint. Generated,
+    not projected: a filter, such as a join's for nulls, would fold every text
+    once more, in a Python worker of its own.
     """
-    return files.select("path", "size_bytes", "raw_sha256", F.coalesce(T.fingerprint(F.col("text")), "raw_sha256").alias("fingerprint"))
+    return files.select("path", "size_bytes", "raw_sha256", F.explode(F.array(F.coalesce(T.fingerprint(F.col("text")), "raw_sha256"))).alias("fingerprint"))
 
 
 def assigned(files: DataFrame) -> DataFrame:

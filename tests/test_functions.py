@@ -202,3 +202,15 @@ def test_archives(spark, tmp_path):
         files.read_archive(spark, str(tmp_path / "bomb.zip"), most_mb=1)
     with pytest.raises(ValueError):
         files.read_archive(spark, str(tmp_path / "none"))
+
+
+def python_nodes(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+
+
+def test_files_are_folded_once(spark):
+    """Before, a join's filter for nulls folded every text once more, in a second worker."""
+    found = spark.createDataFrame([("a", 3, "r1", "Łódź"), ("b", 3, "r2", "łódź "), ("c", 1, "r3", None)], "path string, size_bytes long, raw_sha256 string, text string")
+    done = dedup.assigned(dedup.with_fingerprints(found))
+    assert python_nodes(done) <= 2  # the files, and those that the smallest paths are taken from
+    assert sorted((r["path"], r["representative_path"], r["status"]) for r in done.collect()) == [("a", "a", "scanned"), ("b", "a", "duplicate"), ("c", "c", "scanned")]
