@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,16 +18,24 @@ POLISH_WORDS = (
 )
 
 
-@F.pandas_udf(StringType())
-def _folded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+#: Texts whose strings a worker holds at once, beside a batch of Arrow.
+SLICE = 256
+
+
+@F.arrow_udf(StringType())
+def _folded(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for part in parts:
-        yield part.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).casefold())
+        for k in range(0, len(part), SLICE):
+            texts = part[k : k + SLICE].to_pylist()
+            yield pa.array([None if t is None else unicodedata.normalize("NFKC", t).casefold() for t in texts], pa.string())
 
 
-@F.pandas_udf(StringType())
-def _bare(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(StringType())
+def _bare(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for part in parts:
-        yield part.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+        for k in range(0, len(part), SLICE):
+            texts = part[k : k + SLICE].to_pylist()
+            yield pa.array([None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts], pa.string())
 
 
 def is_ascii(text: Column) -> Column:

@@ -5,6 +5,7 @@ import time
 import zipfile
 from email.message import EmailMessage
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,10 @@ def test_files_are_folded_once(spark):
     done = dedup.assigned(dedup.with_fingerprints(found))
     assert python_nodes(done) <= 2  # the files, and those that the smallest paths are taken from
     assert sorted((r["path"], r["representative_path"], r["status"]) for r in done.collect()) == [("a", "a", "scanned"), ("b", "a", "duplicate"), ("c", "c", "scanned")]
+
+
+def test_workers_hold_slices_of_texts():
+    texts = [None, "Straße", "ﬁ", "ŁÓDŹ é"] * T.SLICE
+    for f, want in ((T._folded, [None, "strasse", "fi", "łódź é"]), (T._bare, [None, "Straße", "fi", "ŁODZ e"])):
+        pieces = list(f.func(iter([pa.array(texts), pa.array(texts[:3])])))
+        assert max(map(len, pieces)) <= T.SLICE and [t for piece in pieces for t in piece.to_pylist()] == want * T.SLICE + want[:3]
