@@ -38,6 +38,12 @@ def _bare(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             yield pa.array([None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts], pa.string())
 
 
+@F.arrow_udf(StringType())
+def _bare_folded(texts: pa.Array) -> pa.Array:
+    bare = ("".join(c for c in unicodedata.normalize("NFKD", t.as_py()) if not unicodedata.combining(c)) if t.is_valid else None for t in texts)
+    return pa.array([None if t is None else unicodedata.normalize("NFKC", t).casefold() for t in bare], pa.string())
+
+
 def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
@@ -52,6 +58,11 @@ def without_marks(text: Column) -> Column:
     return F.when(is_ascii(text), text).otherwise(_bare(F.when(~is_ascii(text), text)))
 
 
+def bare_folded(text: Column) -> Column:
+    """folded(without_marks(text)) of a short text. A worker does this for all columns of a row, as it takes whole batches."""
+    return F.when(is_ascii(text), F.lower(text)).otherwise(_bare_folded(F.when(~is_ascii(text), text)))
+
+
 def squeezed(text: Column) -> Column:
     """Runs of Unicode white space become one space, none at the ends."""
     return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))

@@ -222,3 +222,12 @@ def test_workers_hold_slices_of_texts():
     for f, want in ((T._folded, [None, "strasse", "fi", "łódź é"]), (T._bare, [None, "Straße", "fi", "ŁODZ e"])):
         pieces = list(f.func(iter([pa.array(texts), pa.array(texts[:3])])))
         assert max(map(len, pieces)) <= T.SLICE and [t for piece in pieces for t in piece.to_pylist()] == want * T.SLICE + want[:3]
+
+
+def test_names_take_two_workers(spark):
+    """One makes both names of a row plain, one compares them; before there were five."""
+    cases = [("Żółw Sp. z o.o.", "\"ZOLW\"", False), ("Café S.A.", "CAFE", True), ("Straße GmbH", "strasse", True), (None, "", True), ("", "é", False), ("ﬁrma Ltd", "FIRMA", True)]
+    got = spark.createDataFrame([(k, *c[:2]) for k, c in enumerate(cases)], "k int, a string, b string").select("k", "a", "b", matchers.names(F.col("a"), F.col("b")).alias("ok"))
+    assert python_nodes(got) == 2 and [r["ok"] for r in got.orderBy("k").collect()] == [c[2] for c in cases]
+    both = got.select("a", T.bare_folded(F.col("a")).alias("x"), T.folded(T.without_marks(F.col("a"))).alias("y"))
+    assert all(r["x"] == r["y"] for r in both.collect())
