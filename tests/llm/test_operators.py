@@ -283,6 +283,18 @@ def test_short_lines_meet_in_tiles(spark):
         assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
 
 
+def test_short_lines_without_a_common_piece_do_not_meet(spark):
+    """Few of all pairs of one length are compared, and every similar one among them."""
+    rng = random.Random(43)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20)) for _ in range(300)]
+    edited = [x[:3] + "-" + x[3:9] + x[10:15] + "+" + x[16:] + "." for x in lines[:40]]
+    table = spark.createDataFrame([(x,) for x in lines + edited], "norm string").select(F.xxhash64("norm").alias("k1"), "norm")
+    key = {r["norm"]: r["k1"] for r in table.collect()}
+    short = line_dedup.short_lines(line_dedup.described(table)).withColumn("g", F.col("k1"))
+    met = {tuple(r) for r in line_dedup.short_pairs(short).collect()}
+    assert {tuple(sorted((key[a], key[b]))) for a, b in zip(lines, edited)} <= met and len(met) < 100
+
+
 def test_tiles_tell_lines_of_repeated_words_apart(spark):
     """Of lines of one block that repeat a word, only those leave the tiles that have enough words in common; no text goes in."""
     lines = [" ".join(["shared", "words"] + [f"w{k}"] * 100) for k in range(20)] + [" ".join(["shared", "words"] + ["w1"] * 90 + ["w2"] * 10)]
